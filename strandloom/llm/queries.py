@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from strandloom.llm.mojibake import repaired
 from strandloom.llm.splits import related_groups, split_chunks
 from strandloom.llm.tokens import encode_texts
 from strandloom.llm.sql import SQL  # noqa: F401
@@ -22,4 +23,12 @@ def p7_ids(spark: SparkSession, d: str) -> DataFrame:
     return encode_texts(table(spark, d, "documents"), "doc_id", "text")
 
 
-QUERIES = {f.__name__: f for f in (p4_found, p4_splits, p7_ids)}
+def p9_found(spark: SparkSession, d: str) -> DataFrame:
+    return repaired(table(spark, d, "documents"), "doc_id").select("doc_id")
+
+
+def p9_repaired(spark: SparkSession, d: str) -> DataFrame:
+    return repaired(table(spark, d, "documents"), "doc_id")
+
+
+QUERIES = {f.__name__: f for f in (p4_found, p4_splits, p7_ids, p9_found, p9_repaired)}
