@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from strandloom.llm.leaks import leaked
 from strandloom.llm.mojibake import repaired
 from strandloom.llm.splits import related_groups, split_chunks
 from strandloom.llm.tokens import encode_texts
@@ -23,6 +24,10 @@ def p7_ids(spark: SparkSession, d: str) -> DataFrame:
     return encode_texts(table(spark, d, "documents"), "doc_id", "text")
 
 
+def p8_found(spark: SparkSession, d: str) -> DataFrame:
+    return leaked(table(spark, d, "documents"), table(spark, d, "eval_items"))
+
+
 def p9_found(spark: SparkSession, d: str) -> DataFrame:
     return repaired(table(spark, d, "documents"), "doc_id").select("doc_id")
 
@@ -31,4 +36,4 @@ def p9_repaired(spark: SparkSession, d: str) -> DataFrame:
     return repaired(table(spark, d, "documents"), "doc_id")
 
 
-QUERIES = {f.__name__: f for f in (p4_found, p4_splits, p7_ids, p9_found, p9_repaired)}
+QUERIES = {f.__name__: f for f in (p4_found, p4_splits, p7_ids, p8_found, p9_found, p9_repaired)}
