@@ -335,7 +335,7 @@ def next_model(first: bool, codes, counts, singles, lines, share) -> Model:
         # a pool's shares lean on those of all pools with the weight of 200 lines
         overall = (share.sum(axis=0) + 1e-5 * lines.sum()) / max(lines.sum(), 1)
         rate = (share + 200 * overall) / (lines[:, None] + 200)
-    rate = np.minimum(rate, 0.2)
+    rate = np.clip(rate, 1e-12, 0.2)
     prior = np.log(rate) - np.log(np.maximum(1 - rate.sum(axis=1, keepdims=True), 0.2))
     return make_model(codes, counts, codes, singles, prior, active)
 
