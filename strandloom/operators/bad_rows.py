@@ -41,17 +41,21 @@ def quote_edits(fields: list[bytes]) -> list[tuple[int, str]]:
     classes = _classes(";,|")
 
     def relax(c, at, op, pos):
-        for jump in _INSERT:
+        for jump in _INSERT * 3:  # several quotes may go in at one place
+            moved = False
             for s in range(_N):
                 t = jump[s]
-                if s in (JUNK,) or t == s:
+                if s == JUNK or t == s:
                     continue
-                better = c[:, s] + 1 < c[:, t]
-                if better.any():
+                better = np.flatnonzero(c[:, s] + 1 < c[:, t])
+                if len(better):
+                    moved = True
                     c[better, t] = c[better, s] + 1
                     fresh = at[better, s] < 0
                     op[better, t] = np.where(fresh, 1, op[better, s])
                     at[better, t] = np.where(fresh, pos, at[better, s])
+            if not moved and jump is _INSERT[1]:
+                return
 
     length = np.array([len(f) for f in fields])
     order = np.argsort(-length, kind="stable")

@@ -13,7 +13,6 @@ from pyspark.sql import functions as F
 
 from strandloom.session import materialize
 
-_NONE = F.lit(None).cast("long")
 
 
 def _frontiers(inner: DataFrame, roots: DataFrame, levels_per_job: int) -> list[DataFrame]:
