@@ -17,27 +17,34 @@ from strandloom.session import materialize
 
 def _frontiers(inner: DataFrame, roots: DataFrame, levels_per_job: int) -> list[DataFrame]:
     """Tables (node, root, depth, path) of all nodes below roots, by level; path holds root ... node."""
-    done, frontier, rest, depth = [], roots, inner, 0
+    done, frontier, rest, depth, left = [], roots, inner, 0, inner.count()
+    gone = since = 0
     while True:
-        levels = [frontier]
-        for _ in range(levels_per_job):
-            up = levels[-1].select(F.col("node").alias("parent"), "root", "depth", "path")
-            levels.append(
-                rest.join(up, "parent").select("node", "root", (F.col("depth") + 1).alias("depth"), F.concat("path", F.array("node")).alias("path"))
+        # one join a level: each row follows one line of children; nodes on several lines come once
+        line = frontier.select(F.col("node").alias("at"), "root", "depth", "path", F.array().cast("array<bigint>").alias("down"))
+        step = rest.select(F.col("parent").alias("at"), F.col("node").alias("child"))
+        for i in range(levels_per_job):
+            line = line.join(step, "at", "left" if i else "inner").select(
+                F.col("child").alias("at"), "root", "depth", "path", F.when(F.col("child").isNull(), F.col("down")).otherwise(F.concat("down", F.array("child"))).alias("down")
             )
-        block = levels[1]
-        for lv in levels[2:]:
-            block = block.unionByName(lv)
+        block = line.select("root", "depth", "path", "down", F.posexplode("down").alias("i", "node")).dropDuplicates(["node"]).select(
+            "node", "root", (F.col("depth") + F.col("i") + 1).alias("depth"), F.concat("path", F.slice("down", 1, F.col("i") + 1)).alias("path")
+        )
         block = materialize(block, "levels")
         done.append(block)
         depth += levels_per_job
-        if (block.agg(F.max("depth")).first()[0] or 0) < depth:
+        found, deepest = block.agg(F.count("*"), F.max("depth")).first()
+        if (deepest or 0) < depth:
             return done
         frontier = block.filter(F.col("depth") == depth)
-        rest = materialize(rest.join(block.select("node"), "node", "left_anti"), "rest")
+        gone += found
+        if gone * 4 > left:  # the links not yet followed are written anew when a good part of them is done with
+            for b in done[since:]:
+                rest = rest.join(b.select("node"), "node", "left_anti")
+            rest, left, gone, since = materialize(rest, "rest"), left - gone, 0, len(done)
 
 
-def hierarchy(edges: DataFrame, levels_per_job: int = 4) -> DataFrame:
+def hierarchy(edges: DataFrame, levels_per_job: int = 12) -> DataFrame:
     """(node, root, depth, n_desc, on_circle, path) for each row (node BIGINT unique, parent BIGINT) of edges.
 
     A null parent, or a parent that is no node of its own in the table, makes a root (depth 0). Nodes on a circle or
