@@ -27,8 +27,7 @@ def cover_segments(features: DataFrame, keys: list[str], bits: dict[str, int], b
     events = rows.select(*keys, "label", ends.alias("x")).groupBy(*keys, F.col("x.p").alias("p")).agg(
         *[F.sum(F.when(F.col("label") == n, F.col("x.d")).otherwise(0)).alias(f"d{i}") for i, n in enumerate(names)]
     )
-    for i in range(len(names)):
-        events = prefix_sum(events, keys, "p", f"d{i}", f"n{i}", bin_bits)
+    events = prefix_sum(events, keys, "p", {f"n{i}": f"d{i}" for i in range(len(names))}, bin_bits)
     mask = F.lit(0)
     for i, n in enumerate(names):
         mask = mask + F.when(F.col(f"n{i}") > 0, bits[n]).otherwise(0)

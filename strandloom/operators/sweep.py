@@ -12,21 +12,21 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 
-def prefix_sum(df: DataFrame, keys: list[str], pos: str, value: str, out: str, bin_bits: int) -> DataFrame:
-    """df (one row per key and position) with out = running sum of value in order of pos, up to and with the row.
+def prefix_sum(df: DataFrame, keys: list[str], pos: str, sums: dict[str, str], bin_bits: int) -> DataFrame:
+    """df (one row per key and position) with each sums[name] column's running sum as name, in order of pos, up to and
+    with the row.
 
     Keys may be null (one group). Two levels: bins of 2**bin_bits positions, carried by a window over bins, which holds
     the sums of a 2**bin_bits-th of the key's coordinate range only.
     """
     binned = df.withColumn("__bin", F.shiftright(pos, bin_bits))
     over_bins = W.partitionBy(*keys).orderBy("__bin").rowsBetween(W.unboundedPreceding, -1)
-    carry = binned.groupBy(*keys, "__bin").agg(F.sum(value).alias("__v")).withColumn("__v", F.coalesce(F.sum("__v").over(over_bins), F.lit(0)))
+    carry = binned.groupBy(*keys, "__bin").agg(*[F.sum(v).alias(f"__v_{n}") for n, v in sums.items()])
+    carry = carry.select(*keys, "__bin", F.lit(0).alias("__real"), *[F.coalesce(F.sum(f"__v_{n}").over(over_bins), F.lit(0)).alias(f"__add_{n}") for n in sums])
     # the carry goes in front of its bin as one more row: no join, so null keys need no care
-    rows = binned.select("*", F.lit(1).alias("__real"), F.col(value).alias("__add")).unionByName(
-        carry.select(*keys, "__bin", F.lit(0).alias("__real"), F.col("__v").alias("__add")), allowMissingColumns=True
-    )
+    rows = binned.select("*", F.lit(1).alias("__real"), *[F.col(v).cast("bigint").alias(f"__add_{n}") for n, v in sums.items()]).unionByName(carry, allowMissingColumns=True)
     inside = W.partitionBy(*keys, "__bin").orderBy("__real", pos).rowsBetween(W.unboundedPreceding, 0)
-    return rows.withColumn(out, F.sum("__add").over(inside)).filter("__real = 1").drop("__real", "__add", "__bin")
+    return rows.select(*df.columns, "__real", *[F.sum(f"__add_{n}").over(inside).alias(n) for n in sums]).filter("__real = 1").drop("__real")
 
 
 def coverage_segments(
@@ -46,10 +46,10 @@ def coverage_segments(
         .agg(F.sum("x.d").alias("__d"))
         .filter("__d <> 0")
     )
-    active = prefix_sum(events, keys, "__p", "__d", "__n", bin_bits)
+    active = prefix_sum(events, keys, "__p", {"__n": "__d"}, bin_bits)
     # where the count leaves zero a period starts, where it comes back to zero one ends
     edges = active.select(*keys, "__p", F.when(F.col("__n") == F.col("__d"), 1).otherwise(0).cast("bigint").alias("__up"), (F.col("__n") == 0).alias("__down")).filter("__up = 1 or __down")
-    numbered = prefix_sum(edges, keys, "__p", "__up", "__k", bin_bits)
+    numbered = prefix_sum(edges, keys, "__p", {"__k": "__up"}, bin_bits)
     opens = F.col("__up") == 1
     part = lambda kind, no, side, at: F.struct(F.lit(kind).alias("kind"), no.cast("bigint").alias("no"), F.when(F.lit(side == "s"), at).alias("s"), F.when(F.lit(side == "e"), at).alias("e"))
     p, k = F.col("__p"), F.col("__k")

@@ -566,3 +566,71 @@ def strand_merge(spark, d):
 def gtf_out(spark, d):
     f = features(spark, d).filter("tx_id is not null").withColumn("gene_id", F.concat("tx_id", F.lit("_g"))).withColumn("score", F.lit(None).cast("string"))
     return gtf_lines(f)
+
+
+_CLASS_BITS = {"intron_initial": 2, "intron_internal": 4, "intron_terminal": 8, "exon_initial": 16, "exon_internal": 32, "exon_terminal": 64}
+_CLASS_SQL = "CASE WHEN m = 1 OR (strand = '+' AND k = 1) OR (strand = '-' AND k = m) THEN 'initial' WHEN k IN (1, m) THEN 'terminal' ELSE 'internal' END"
+
+
+@query(f"""WITH {FEATURES_SQL}, xr AS (SELECT species, tx, chrom, strand, s, e, ord, lag(e) OVER (PARTITION BY species, tx, chrom, strand ORDER BY s, e, ord) AS pe FROM f WHERE feature = 'exon' AND tx IS NOT NULL),
+       xn AS (SELECT *, row_number() OVER w AS k, count(*) OVER (PARTITION BY species, tx, chrom, strand) AS m FROM xr WINDOW w AS (PARTITION BY species, tx, chrom, strand ORDER BY s, e, ord)),
+       im AS (SELECT species, tx, chrom, strand, pe + 1 AS s, s - 1 AS e FROM xr WHERE s - pe >= 3), inn AS (SELECT *, row_number() OVER w AS k, count(*) OVER (PARTITION BY species, tx, chrom, strand) AS m FROM im WINDOW w AS (PARTITION BY species, tx, chrom, strand ORDER BY s, e)),
+       lb AS (SELECT species, chrom, strand, s, e, 'exon_' || {_CLASS_SQL} AS label FROM xn UNION ALL SELECT species, chrom, strand, s, e, 'intron_' || {_CLASS_SQL} FROM inn),
+       bs AS (SELECT DISTINCT species, chrom, strand, label, unnest(generate_series(s, e)) AS pos FROM lb WHERE s <= e),
+       mk AS (SELECT species, chrom, strand, pos, sum(CASE label {" ".join(f"WHEN '{k}' THEN {v}" for k, v in _CLASS_BITS.items())} END) AS mask FROM bs GROUP BY ALL)
+       SELECT species, chrom, strand, CAST(mask AS INT) AS mask, count(*) AS n_bases FROM mk GROUP BY ALL""")
+def label17(spark, d):
+    from pyspark.sql import Window as W
+
+    f = materialize(features(spark, d), "features")
+    exons = tx.position_classes(f, "exon").select("ord", F.concat(F.lit("exon_"), "position_class").alias("label")).join(f.filter("feature = 'exon'"), "ord").select(*lb.PLACE, "start", "end", "label")
+    i = tx.introns(f, "exon").select(*tx.TX, "chrom", "strand", F.col("intron_start").alias("start"), F.col("intron_end").alias("end"), F.lit("exon").alias("feature"))
+    i = i.withColumn("ord", F.row_number().over(W.partitionBy(*tx.TX, "chrom", "strand").orderBy("start", "end")))
+    classes = tx.position_classes(i, "exon").withColumnRenamed("position_class", "label").select(*tx.TX, "ord", F.concat(F.lit("intron_"), "label").alias("label"))
+    both = i.join(classes, [*tx.TX, "ord"]).select(*lb.PLACE, "start", "end", "label").unionByName(exons)
+    return lb.cover_segments(both, lb.PLACE, _CLASS_BITS).groupBy(*lb.PLACE, "mask").agg(F.sum(F.col("e") - F.col("s") + 1).alias("n_bases"))
+
+
+@query()
+def intergenic_samples(spark, d):
+    """Up to 50 windows of 2000 bases a species from the gaps between genes, drawn by a seeded hash (no SQL: the hash)."""
+    g = coverage_segments(features(spark, d).filter("feature = 'gene'"), lb.PLACE, "start", "end").filter("kind = 'gap'")
+    return ch.sampled_windows(g.select(*lb.PLACE, F.col("seg_start").alias("s"), F.col("seg_end").alias("e")), 2000, 50, ["species"])
+
+
+@query("""WITH p AS (SELECT feat_id, trim(u) AS piece, k FROM (SELECT feat_id, unnest(string_split(attributes, ';')) AS u, generate_subscripts(string_split(attributes, ';'), 1) AS k FROM gff_features WHERE attributes IS NOT NULL)),
+       q AS (SELECT feat_id, k, piece[1:strpos(piece, '=') - 1] AS key, piece[strpos(piece, '=') + 1:] AS val FROM p WHERE strpos(piece, '=') > 0)
+       SELECT feat_id, key, arg_max(val, k) AS val FROM q WHERE key IN ('ID', 'Parent', 'Name', 'biotype') GROUP BY ALL""")
+def attribute_maps(spark, d):
+    g = table(spark, d, "gff_features").filter("attributes is not null")
+    return g.select("feat_id", F.explode(fs.attribute_map(F.col("attributes"))).alias("key", "val")).filter(F.col("key").isin("ID", "Parent", "Name", "biotype"))
+
+
+@query(f"""WITH {FEATURES_SQL}, n AS (SELECT species, source, tx, min(ord) AS ord FROM cds GROUP BY ALL), d AS (SELECT *, row_number() OVER (PARTITION BY species, tx ORDER BY ord) AS k FROM n)
+       SELECT species, source, tx AS tx_id, CASE WHEN k = 1 THEN tx ELSE 'duplicate.' || tx || '.' || (k - 1) END AS new_id FROM d""")
+def duplicate_ids(spark, d):
+    from pyspark.sql import Window as W
+
+    n = features(spark, d).filter("feature = 'CDS' and tx_id is not null").groupBy("species", "source", "tx_id").agg(F.min("ord").alias("ord"))
+    k = F.row_number().over(W.partitionBy("species", "tx_id").orderBy("ord"))
+    return n.withColumn("k", k).select("species", "source", "tx_id", F.when(F.col("k") == 1, F.col("tx_id")).otherwise(F.concat_ws(".", F.lit("duplicate"), "tx_id", (F.col("k") - 1).cast("string"))).alias("new_id"))
+
+
+@query()
+def decided_components(spark, d):
+    """Components of the overlap graph once the weaker ends of its edges are removed (no SQL: see decided_graph)."""
+    f, n, e = _graph(spark, d)
+    nodes = n.select("node", "species", "tx_id", F.col("cds_len").cast("double").alias("len")).join(_evidence(f).select("species", "tx_id", "relative"), ["species", "tx_id"], "left")
+    kept = materialize(iso.decided(nodes, e, ["relative", "len"], (0.0, 10.0)).select("node"), "kept")
+    left = e.join(kept.withColumnRenamed("node", "a"), "a", "left_semi").join(kept.withColumnRenamed("node", "b"), "b", "left_semi")
+    return iso.component_of(kept, left)
+
+
+@query(f"""WITH {FEATURES_SQL}, c AS (SELECT *, unnest(generate_series((s - 1) // 396, (e - 1) // 396)) AS k FROM f WHERE feature = 'CDS'),
+       g AS (SELECT species, chrom, i AS k, substring(seq, CAST(i * 99 + 1 AS INT), 99) AS seq FROM (SELECT *, unnest(generate_series(0, length(seq) // 99 - 1)) AS i FROM sequences WHERE length(seq) >= 99))
+       SELECT g.species, g.chrom, g.k AS chunk_no, g.seq, count(c.ord) AS n_cds FROM g LEFT JOIN c ON c.species = g.species AND c.chrom = g.chrom AND c.k = g.k GROUP BY ALL""")
+def chunk_records(spark, d):
+    """Chunk sequences beside the annotation of the chunk of that number (the record that training reads)."""
+    c = ch.on_grid(features(spark, d).filter("feature = 'CDS'"), 396).groupBy("species", "chrom", "chunk_no").agg(F.count("*").alias("n_cds"))
+    g = ch.fixed_chunks(table(spark, d, "sequences"), 99).withColumn("chunk_no", F.expr("begin div 99"))
+    return g.join(c, ["species", "chrom", "chunk_no"], "left").select("species", "chrom", "chunk_no", "seq", F.coalesce("n_cds", F.lit(0).cast("bigint")).alias("n_cds"))
