@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strandloom.functions.attributes import _TRANS, UNCLOSED, JUNK, D_IN, S_IN, _classes, byte_rows, split_values
+from strandloom.functions.attributes import _TRANS, JUNK, UNCLOSED, _classes, byte_rows, split_values
 
 #: Fixed values of the nine-column format.
 COLUMNS = ["chr", "source", "type", "start", "end", "score", "strand", "phase", "attributes"]
@@ -22,48 +22,51 @@ _CHR = re.compile(rb"[A-Za-z0-9_.\-]*[A-Za-z0-9][A-Za-z0-9_.\-]*")
 _DIGITS = re.compile(rb"[0-9]+")
 _TESTS = [_CHR, None, None, _DIGITS, _DIGITS, None, re.compile(rb"[+\-.?]"), re.compile(rb"[012.]"), None]
 
-_N = len(_TRANS)
-#: Quote edits: inserting a quote moves between states as reading that quote does; deleting one keeps the state.
-_INSERT = [_TRANS[:, 4], _TRANS[:, 5]]
+_N, _BIG = len(_TRANS), 1 << 20
 _FINAL = np.flatnonzero(~UNCLOSED & (np.arange(_N) != JUNK))
 
 
+def _insertions() -> np.ndarray:
+    """Least number of quotes that, put in at one place, lead from each state to each other (deleting keeps a state)."""
+    far = np.full((_N, _N), _BIG, np.int32)
+    np.fill_diagonal(far, 0)
+    for _ in range(_N):
+        for s in range(_N):
+            for t in {int(_TRANS[s, 4]), int(_TRANS[s, 5])} - {JUNK}:
+                far[:, t] = np.minimum(far[:, t], far[:, s] + 1)
+    far[JUNK, :] = far[:, JUNK] = _BIG
+    return far
+
+
+_INSERT = _insertions()
+
+
 def quote_edits(fields: list[bytes]) -> list[tuple[int, str]]:
     """Least number of quotes to insert or delete until each field's quoting is whole, and the first such edit.
 
     Min-plus dynamic programming over the tokenizer's states, all fields in lock-step by position.
     """
-    n, big = len(fields), 1 << 20
+    n, big = len(fields), _BIG
     cost = np.full((n, _N), big, np.int32)
     cost[:, 0] = 0
     first_at = np.full((n, _N), -1, np.int64)  # position of the path's first edit
     first_op = np.zeros((n, _N), np.uint8)  # 1: insert, 2: delete
-    classes = _classes(";,|")
+    classes, raw = _classes(";,|"), np.frombuffer(b"".join(fields), np.uint8)
 
     def relax(c, at, op, pos):
-        for jump in _INSERT * 3:  # several quotes may go in at one place
-            moved = False
-            for s in range(_N):
-                t = jump[s]
-                if s == JUNK or t == s:
-                    continue
-                better = np.flatnonzero(c[:, s] + 1 < c[:, t])
-                if len(better):
-                    moved = True
-                    c[better, t] = c[better, s] + 1
-                    fresh = at[better, s] < 0
-                    op[better, t] = np.where(fresh, 1, op[better, s])
-                    at[better, t] = np.where(fresh, pos, at[better, s])
-            if not moved and jump is _INSERT[1]:
-                return
+        """Insert quotes before a position: (cost, first_at, first_op) after the cheapest insertions."""
+        via = (c[:, :, None] + _INSERT).argmin(axis=1)
+        row = np.arange(len(c))[:, None]
+        put = _INSERT[via, np.arange(_N)]
+        fresh = (put > 0) & (at[row, via] < 0)
+        return np.minimum(c[row, via] + put, big), np.where(fresh, pos, at[row, via]), np.where(fresh, 1, op[row, via])
 
     length = np.array([len(f) for f in fields])
-    order = np.argsort(-length, kind="stable")
+    order, begin = np.argsort(-length, kind="stable"), np.cumsum(length) - length
     for t in range(int(length.max()) if n else 0):
         live = order[: np.searchsorted(-length[order], -t, side="left")]
-        kind = classes[np.array([fields[i][t] for i in live], np.uint8)]
-        c, at, op = cost[live], first_at[live], first_op[live]
-        relax(c, at, op, t)
+        kind = classes[raw[begin[live] + t]]
+        c, at, op = relax(cost[live], first_at[live], first_op[live], t)
         nc, nat, nop = np.full_like(c, big), np.full_like(at, -1), np.zeros_like(op)
         for s in range(_N):
             to = _TRANS[s][kind]
@@ -77,8 +80,7 @@ def quote_edits(fields: list[bytes]) -> list[tuple[int, str]]:
             nop = np.where(drop, np.where(fresh, 2, op), nop)
             nat = np.where(drop, np.where(fresh, t, at), nat)
         cost[live], first_at[live], first_op[live] = nc, nat, nop
-    for i in range(n):
-        relax(cost[i : i + 1], first_at[i : i + 1], first_op[i : i + 1], len(fields[i]))
+    cost, first_at, first_op = relax(cost, first_at, first_op, length[:, None])
     out = []
     for i in range(n):
         s = _FINAL[np.argmin(cost[i, _FINAL])]
@@ -90,26 +92,26 @@ def quote_edits(fields: list[bytes]) -> list[tuple[int, str]]:
 def tab_edits(pieces: list[bytes]) -> tuple[int, str]:
     """Least-cost way to make nine columns of the pieces between tabs: (number of tabs to insert or delete, first one).
 
-    The number is the least possible; among ways of that number, the one that leaves fewest values ill-typed is told.
+    Dynamic programming over pieces and columns. The least number only deletes tabs if there are too many pieces and
+    only inserts some if there are too few; of ways of that number, the one that leaves fewest values ill-typed is told.
     """
-    big, n = (1 << 20, 1 << 20, ""), len(pieces)
-    misfit = lambda p, j: int(_TESTS[j] is not None and not _TESTS[j].fullmatch(p))
-    best = {(0, 0): (0, 0, "")}
+    n = len(pieces)
+    takes = range(1, n - 7) if n >= 9 else (1, 0)
+    best: dict[int, tuple[int, int, str]] = {0: (0, 0, "")}
     for j in range(9):
-        for i in range(n + 1):
-            if (i, j) not in best:
-                continue
-            k, bad, said = best[i, j]
-            for take in range(0, n - i + 1):
-                if take == 0 and i == 0 and j == 0 and n == 0:
-                    continue
-                edits = 1 if take == 0 else take - 1
-                text = b" ".join(pieces[i : i + take])
-                op = "" if not edits else f"insert tab after field {j}" if take == 0 else f"delete tab after field {i + 1}"
-                new = (k + edits, bad + misfit(text, j), said or op)
-                if new < best.get((i + take, j + 1), big):
-                    best[i + take, j + 1] = new
-    k, _, said = best[n, 9]
+        nxt: dict[int, tuple[int, int, str]] = {}
+        for i, (k, bad, said) in best.items():
+            for take in takes:
+                if i + take > n:
+                    break
+                test = _TESTS[j]
+                ill = test is not None and not test.fullmatch(b" ".join(pieces[i : i + take]))
+                op = "" if take == 1 else f"insert tab after field {i}" if take == 0 else f"delete tab after field {i + 1}"
+                new = (k + abs(take - 1), bad + ill, said or op)
+                if i + take not in nxt or new < nxt[i + take]:
+                    nxt[i + take] = new
+        best = nxt
+    k, _, said = best[n]
     return k, said
 
 
