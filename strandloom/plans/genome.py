@@ -43,6 +43,10 @@ def query(sql: str | None = None):
     return add
 
 
+def _big(df: DataFrame, *columns: str) -> DataFrame:
+    return df.withColumns({c: F.col(c).cast("bigint") for c in columns})
+
+
 def features(spark: SparkSession, d: str) -> DataFrame:
     return tx.features_of(table(spark, d, "gff_features"))
 
@@ -54,7 +58,8 @@ _COUNT = lambda c: f"length(seq) - length(replace(seq, '{c}', ''))"  # noqa: E73
 
 @query(f"""SELECT species, chrom, {", ".join(f"{_COUNT(c)} AS n_{'upper' if c.isupper() else 'lower'}_{c.lower()}" for c in fs.BASES)} FROM sequences""")
 def seq_composition(spark, d):
-    return table(spark, d, "sequences").select("species", "chrom", *ch.composition(F.col("seq")))
+    out = table(spark, d, "sequences").select("species", "chrom", *ch.composition(F.col("seq")))
+    return _big(out, *out.columns[2:])
 
 
 @query(f"""SELECT species, CAST(sum(length(seq)) AS BIGINT) AS n_bases, 100.0 * CAST(sum({_COUNT('N')}) AS DOUBLE) / sum(length(seq)) AS pct_n,
@@ -138,14 +143,14 @@ def chunk_fixed(spark, d):
        UNION ALL SELECT chunk_id, 0, 0, length(seq) - 1, seq FROM chunks WHERE length(seq) BETWEEN 1 AND 49""")
 def chunk_tail(spark, d):
     c = table(spark, d, "chunks").select(F.lit("").alias("species"), F.col("chunk_id").alias("chrom"), "seq")
-    return ch.tail_chunks(c, 50, 10).select(F.col("chrom").alias("chunk_id"), "no", "start", "end", "seq")
+    return _big(ch.tail_chunks(c, 50, 10).select(F.col("chrom").alias("chunk_id"), "no", "start", "end", "seq"), "no", "start", "end")
 
 
 @query("""WITH c AS (SELECT species, chrom, i, i * 99 + 1 AS start, i * 99 + 99 AS "end", substring(seq, CAST(i * 99 + 1 AS INT), 99) AS seq, length(seq) // 99 - 1 AS n
        FROM (SELECT *, unnest(generate_series(0, length(seq) // 99 - 1)) AS i FROM sequences WHERE length(seq) >= 99))
        SELECT species, chrom, '+' AS strand, i AS "no", start, "end", seq FROM c UNION ALL SELECT species, chrom, '-', n - i, start, "end", translate(reverse(seq), 'ACGTacgt', 'TGCAtgca') FROM c""")
 def chunk_stranded(spark, d):
-    return ch.stranded_chunks(table(spark, d, "sequences"), 99)
+    return _big(ch.stranded_chunks(table(spark, d, "sequences"), 99), "no")
 
 
 @query("""SELECT species, chrom, start, least(start + 9999999, length) AS "end" FROM (SELECT *, unnest(list_slice(generate_series(3000, length - 1, length // n), 1, n)) AS start
@@ -225,7 +230,7 @@ def intergenic_gaps(spark, d):
 @query(f"""WITH {FEATURES_SQL}, n AS (SELECT *, row_number() OVER (PARTITION BY species, tx, chrom, strand ORDER BY s, e, ord) AS k, count(*) OVER (PARTITION BY species, tx, chrom, strand) AS m FROM cds)
        SELECT species, tx AS tx_id, ord, k AS "no", m AS "of", CASE WHEN m = 1 OR (strand = '+' AND k = 1) OR (strand = '-' AND k = m) THEN 'initial' WHEN k IN (1, m) THEN 'terminal' ELSE 'internal' END AS position_class FROM n""")
 def position_class(spark, d):
-    return tx.position_classes(features(spark, d))
+    return _big(tx.position_classes(features(spark, d)), "no", "of")
 
 
 @query(f"""WITH {FEATURES_SQL}, p AS (SELECT *, lag(e) OVER (PARTITION BY species, tx, chrom, strand ORDER BY s, e, ord) AS pe FROM cds), i AS (SELECT * FROM p WHERE s - pe >= 3),
@@ -313,7 +318,7 @@ def _graph(spark, d):
 
 
 _COMPONENTS = f"""RECURSIVE {_EDGES}, w AS (SELECT x.ord AS a, y.ord AS b FROM ed JOIN u x ON (ed.species, ed.chrom, ed.strand, ed.a) = (x.species, x.chrom, x.strand, x.tx) JOIN u y ON (ed.species, ed.chrom, ed.strand, ed.b) = (y.species, y.chrom, y.strand, y.tx)),
-       z AS (SELECT a, b FROM w UNION SELECT b, a FROM w), rc(node, r) AS (SELECT ord, ord FROM u UNION SELECT z.b, rc.r FROM rc JOIN z ON z.a = rc.node WHERE rc.r < z.b OR true),
+       z AS (SELECT a, b FROM w UNION SELECT b, a FROM w), rc(node, r) AS (SELECT ord, ord FROM u UNION SELECT z.b, rc.r FROM rc JOIN z ON z.a = rc.node),
        co AS (SELECT node, min(r) AS component FROM rc GROUP BY node)"""
 
 
@@ -634,3 +639,59 @@ def chunk_records(spark, d):
     c = ch.on_grid(features(spark, d).filter("feature = 'CDS'"), 396).groupBy("species", "chrom", "chunk_no").agg(F.count("*").alias("n_cds"))
     g = ch.fixed_chunks(table(spark, d, "sequences"), 99).withColumn("chunk_no", F.expr("begin div 99"))
     return g.join(c, ["species", "chrom", "chunk_no"], "left").select("species", "chrom", "chunk_no", "seq", F.coalesce("n_cds", F.lit(0).cast("bigint")).alias("n_cds"))
+
+
+# ---- whole flow: annotation -> longest isoforms -> labels -> chunk classes
+
+_LONGEST = f"""{_COMPONENTS}, lo AS (SELECT component, arg_max(node, (cds_len, -node)) AS node FROM co JOIN u ON u.ord = co.node GROUP BY component),
+       kept AS (SELECT u.species, u.chrom, u.strand, u.tx FROM lo JOIN u ON u.ord = lo.node WHERE u.cds_len >= 90),
+       kc AS (SELECT cds.* FROM cds JOIN kept ON (cds.species, cds.chrom, cds.strand, cds.tx) = (kept.species, kept.chrom, kept.strand, kept.tx))"""
+
+
+def longest_features(spark, d) -> DataFrame:
+    """Coding rows of the longest isoform of each component, of at least 90 bases."""
+    f, n, e = _graph(spark, d)
+    best = iso.longest_isoforms(iso.component_of(n.select("node", "cds_len"), e)).filter("cds_len >= 90")
+    kept = n.join(best.select("node"), "node", "left_semi").select(*lb.PLACE, "tx_id")
+    return materialize(f.filter("feature = 'CDS' and tx_id is not null").join(kept, [*lb.PLACE, "tx_id"], "left_semi"), "isoforms")
+
+
+@query(f"""WITH {_LONGEST}, pi AS (SELECT *, lag(e) OVER (PARTITION BY species, tx, chrom, strand ORDER BY s, e, ord) AS pe FROM kc),
+       lab AS (SELECT species, chrom, strand, s, e, 4 AS bit FROM kc UNION ALL SELECT species, chrom, strand, pe + 1, s - 1, 2 FROM pi WHERE s - pe >= 3),
+       ba AS (SELECT species, chrom, strand, pos, bit_or(bit) AS mask FROM (SELECT DISTINCT species, chrom, strand, bit, unnest(generate_series(s, e)) AS pos FROM lab) GROUP BY ALL),
+       gr AS (SELECT species, chrom, strand, (pos - 1) // {SIZE} AS chunk_no, count(*) FILTER (mask & 2 <> 0) AS intron, count(*) FILTER (mask & 4 <> 0) AS coding, count(*) AS genic FROM ba GROUP BY ALL)
+       SELECT species, chrom, strand, chunk_no, intron, coding, CASE WHEN genic = 0 THEN 'intergenic' WHEN intron = {SIZE} AND coding = 0 THEN 'intron' WHEN coding >= 100 THEN 'cds' ELSE 'non' END AS label FROM gr""")
+def isoform_chunks(spark, d):
+    f = longest_features(spark, d)
+    i = tx.introns(f).select(*lb.PLACE, F.col("intron_start").alias("start"), F.col("intron_end").alias("end"), F.lit("intron").alias("label"))
+    seg = lb.cover_segments(f.select(*lb.PLACE, "start", "end", F.lit("CDS").alias("label")).unionByName(i), lb.PLACE, {"intron": 2, "CDS": 4})
+    g = ch.masked_bases(seg, lb.PLACE, SIZE, {"intron": 2, "coding": 4, "genic": 6})
+    return g.select(*lb.PLACE, "chunk_no", "intron", "coding", ch.chunk_class(F.col("intron"), F.col("coding"), F.col("genic"), SIZE).alias("label"))
+
+
+@query(f"""WITH {FEATURES_SQL}, c AS (SELECT species, chrom, CASE feature WHEN 'CDS' THEN 'CDS' WHEN 'exon' THEN 'exon' ELSE 'gene' END AS channel, strand, s, e FROM f WHERE feature IN ('CDS', 'exon', 'gene')),
+       b AS (SELECT DISTINCT species, chrom, channel, strand, unnest(generate_series(s, e)) AS pos FROM c)
+       SELECT species, chrom, strand, (pos - 1) // 8192 AS chunk_no, count(*) FILTER (channel = 'CDS') AS "CDS", count(*) FILTER (channel = 'exon') AS exon, count(*) FILTER (channel = 'gene') AS gene FROM b GROUP BY ALL""")
+def strand_channels(spark, d):
+    """Covered bases of each chunk by channel and strand (the channels that only tell covered from not)."""
+    bits = {"CDS": 1, "exon": 2, "gene": 4}
+    seg = lb.cover_segments(features(spark, d).withColumnRenamed("feature", "label"), lb.PLACE, bits)
+    return ch.masked_bases(seg, lb.PLACE, 8192, bits)
+
+
+@query(f"""WITH {FEATURES_SQL}, {_SEQ}, p AS (SELECT *, lag(e) OVER (PARTITION BY species, tx, chrom, strand ORDER BY s, e, ord) AS pe FROM cds),
+       st AS (SELECT DISTINCT species, chrom, strand, pe + 1 AS a, s - 1 AS z FROM p WHERE s - pe >= 5)
+       SELECT species, chrom, strand, CASE WHEN strand = '-' THEN z - 1 ELSE a END AS site_start, CASE WHEN strand = '-' THEN z ELSE a + 1 END AS site_end,
+              upper(CASE WHEN strand = '-' THEN translate(reverse({_BASES('(z - 1)', 'z')}), 'ACGTacgt', 'TGCAtgca') ELSE {_BASES('a', '(a + 1)')} END) AS site_seq, 'donor' AS kind FROM st JOIN sq USING (species, chrom)
+       UNION ALL SELECT species, chrom, strand, CASE WHEN strand = '-' THEN a ELSE z - 1 END, CASE WHEN strand = '-' THEN a + 1 ELSE z END,
+              upper(CASE WHEN strand = '-' THEN translate(reverse({_BASES('a', '(a + 1)')}), 'ACGTacgt', 'TGCAtgca') ELSE {_BASES('(z - 1)', 'z')} END), 'acceptor' FROM st JOIN sq USING (species, chrom)""")
+def site_rows(spark, d):
+    """Donor and acceptor rows with their two bases, read on the strand of the intron."""
+    i = tx.introns(features(spark, d), min_gap=5).select(*lb.PLACE, "intron_start", "intron_end").distinct()
+    left = (F.col("intron_start"), F.col("intron_start") + 1)
+    right = (F.col("intron_end") - 1, F.col("intron_end"))
+    minus = F.col("strand") == "-"
+    both = F.explode(F.array(*[F.struct(F.when(minus, a[0]).otherwise(b[0]).alias("s"), F.when(minus, a[1]).otherwise(b[1]).alias("e"), F.lit(k).alias("kind")) for k, a, b in (("donor", right, left), ("acceptor", left, right))]))
+    x = _with_bases(i.withColumn("x", both), spark, d)
+    bases = fs.periodic_bases(F.col("seq"), F.col("x.s"), F.col("x.e"))
+    return x.select(*lb.PLACE, F.col("x.s").alias("site_start"), F.col("x.e").alias("site_end"), F.upper(F.when(minus, fs.reverse_complement(bases)).otherwise(bases)).alias("site_seq"), F.col("x.kind").alias("kind"))
