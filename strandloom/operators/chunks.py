@@ -143,7 +143,7 @@ def covered_offsets(windows: DataFrame, cds: DataFrame, bin_bits: int = 13) -> D
     """
     from strandloom.operators.sweep import coverage_segments
 
-    # the reference test start < base <= end on 0-based bases is the closed interval start + 1 .. end
+    # start < base <= end on 0-based bases is the closed interval start + 1 .. end
     runs = coverage_segments(cds.select("species", "chrom", (F.col("start") + 1).alias("s"), F.col("end").alias("e")), ["species", "chrom"], "s", "e", 0).filter("kind = 'period'")
     spread = lambda df, s, e: df.withColumn("bin", F.explode(F.sequence(F.shiftright(s, bin_bits), F.shiftright(e, bin_bits))))
     w = spread(windows.select("species", "chrom", "start", "end").filter("start < end").withColumn("last", F.col("end") - 1), "start", "last")

@@ -10,8 +10,8 @@ from strandloom.operators.components import components
 PLACE = ["species", "chrom", "strand"]
 
 #: Weights of evidence sources, and the threshold of each feature in a pairwise decision.
-SOURCE_WEIGHTS = {"P": 1.0, "E": 10.0, "C": 5.0, "M": 1.0}
-EDGE_THRESHOLDS = (0.0, 0.5, 25.0, 10.0)
+SOURCE_WEIGHTS = {"P": 1.0, "E": 20.0, "C": 1.0, "M": 1.0}
+EDGE_THRESHOLDS = (0.0, 0.0, 0.0, 0.0)
 
 
 def overlap_pairs(spans: DataFrame, start: str, end: str, key: str, bin_bits: int = 13) -> DataFrame:
@@ -65,10 +65,11 @@ def longest_isoforms(nodes: DataFrame) -> DataFrame:
 
 
 def evidence_features(parts: DataFrame, hints: DataFrame, weights: dict[str, float] | None = None) -> DataFrame:
-    """(species, tx_id, n_parts, relative, absolute): support of a transcript's parts by hints at the same place.
+    """(species, tx_id, n_parts, relative, absolute, mean): support of a transcript's parts by hints at the same place.
 
     parts: species, chrom, strand, tx_id, kind, start, end; hints: species, chrom, strand, kind, start, end, src, mult.
-    relative is the share of parts with a hint (1 without parts); absolute the log of the weighted multiplicities.
+    relative is the share of parts with a hint; absolute the log of the weighted multiplicities, mean that of their
+    mean over the parts. Transcripts without parts have no row (their relative support counts as 1).
     """
     weights = weights or SOURCE_WEIGHTS
     weight = F.coalesce(*[F.when(F.col("src") == s, F.lit(w)) for s, w in weights.items()], F.lit(1.0))
@@ -76,13 +77,22 @@ def evidence_features(parts: DataFrame, hints: DataFrame, weights: dict[str, flo
     support = hints.groupBy(*at).agg(F.sum(weight * F.col("mult")).alias("w"))
     joined = parts.select("tx_id", *at).distinct().join(support, at, "left")
     return joined.groupBy("species", "tx_id").agg(
-        F.count("*").alias("n_parts"), F.try_divide(F.count("w"), F.count("*")).alias("relative"), F.log(F.coalesce(F.sum("w"), F.lit(0.0)) + 1e-5).alias("absolute")
+        F.count("*").alias("n_parts"), F.try_divide(F.count("w"), F.count("*")).alias("relative"), F.log(F.coalesce(F.sum("w"), F.lit(0.0)) + 1e-5).alias("absolute"),
+        F.log(F.coalesce(F.sum("w"), F.lit(0.0)) / F.count("*") + 1e-5).alias("mean"),
     )
 
 
-def decided(nodes: DataFrame, edges: DataFrame, features: list[str], thresholds: tuple[float, ...]) -> DataFrame:
+def supported(nodes: DataFrame, inner: str, outer: str, least_inner: float = 0.0, least_outer: float = 0.0, single: str | None = None) -> DataFrame:
+    """nodes whose inner (intron) or outer (start/stop codon) support reaches its threshold; with ``single``, the name of
+    a flag, single-exon nodes also need some outer support. Null support reaches nothing."""
+    ok = F.coalesce(F.col(inner) >= least_inner, F.lit(False)) | F.coalesce(F.col(outer) >= least_outer, F.lit(False))
+    return nodes.filter(ok & ~(F.col(single) & (F.coalesce(outer, F.lit(0.0)) == 0)) if single else ok)
+
+
+def decided(nodes: DataFrame, edges: DataFrame, features: list[str], thresholds: tuple[float, ...] = EDGE_THRESHOLDS) -> DataFrame:
     """Nodes that lose no edge: along an edge (a, b) the first feature that differs by more than its threshold removes
-    the weaker node. nodes: node and the features; null features differ from nothing."""
+    the weaker node. nodes: node and the features; null features (as intron support of a single-exon transcript) differ
+    from nothing."""
     f = nodes.select("node", *features)
     ab = edges.join(f.select(F.col("node").alias("a"), *[F.col(c).alias(f"a_{c}") for c in features]), "a").join(f.select(F.col("node").alias("b"), *[F.col(c).alias(f"b_{c}") for c in features]), "b")
     loser = None

@@ -348,7 +348,7 @@ def renamed_transcripts(spark, d):
 
 
 # hints: exons of the sources 'refx' and 'gnomonix' at their places, one source letter each
-_HINTS = """h AS (SELECT species, chrom, strand, s, e, sum(CASE source WHEN 'refx' THEN 10.0::DOUBLE ELSE 1.0::DOUBLE END) AS w FROM f WHERE feature = 'exon' AND source IN ('refx', 'gnomonix') GROUP BY ALL),
+_HINTS = """h AS (SELECT species, chrom, strand, s, e, sum(CASE source WHEN 'refx' THEN 20.0::DOUBLE ELSE 1.0::DOUBLE END) AS w FROM f WHERE feature = 'exon' AND source IN ('refx', 'gnomonix') GROUP BY ALL),
        pt AS (SELECT DISTINCT species, chrom, strand, tx, s, e FROM f WHERE feature = 'exon' AND tx IS NOT NULL)"""
 
 
@@ -358,9 +358,9 @@ def _evidence(f):
     return iso.evidence_features(parts, hints)
 
 
-@query(f"WITH {FEATURES_SQL}, {_HINTS} SELECT species, tx AS tx_id, count(*) AS n_parts, count(w)::DOUBLE / count(*) AS relative, round(ln(coalesce(sum(w), 0) + 1e-5), 9) AS absolute FROM pt LEFT JOIN h USING (species, chrom, strand, s, e) GROUP BY ALL")
+@query(f"WITH {FEATURES_SQL}, {_HINTS} SELECT species, tx AS tx_id, count(*) AS n_parts, count(w)::DOUBLE / count(*) AS relative, round(ln(coalesce(sum(w), 0) + 1e-5), 9) AS absolute, round(ln(coalesce(sum(w), 0) / count(*) + 1e-5), 9) AS mean FROM pt LEFT JOIN h USING (species, chrom, strand, s, e) GROUP BY ALL")
 def evidence_features(spark, d):
-    return _evidence(features(spark, d)).withColumn("absolute", F.round("absolute", 9))
+    return _evidence(features(spark, d)).withColumns({c: F.round(c, 9) for c in ("absolute", "mean")})
 
 
 @query(f"""WITH {_EDGES}, {_HINTS}, ev AS (SELECT species, tx, count(w)::DOUBLE / count(*) AS rel FROM pt LEFT JOIN h USING (species, chrom, strand, s, e) GROUP BY ALL),

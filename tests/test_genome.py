@@ -122,6 +122,16 @@ def test_decisions(spark):
     assert [r.node for r in iso.decided(n, e, ["r", "l"], (0.0, 10.0)).orderBy("node").collect()] == [3]
 
 
+def test_support_and_evidence(spark):
+    n = spark.createDataFrame([(1, 0.5, 0.0, False), (2, 0.1, 0.0, False), (3, None, None, True), (4, 0.9, 0.0, True)], "node bigint, i double, o double, single boolean")
+    assert [r.node for r in iso.supported(n, "i", "o", 0.4, 0.2).orderBy("node").collect()] == [1, 4]
+    assert [r.node for r in iso.supported(n, "i", "o", 0.4, 0.2, "single").collect()] == [1]
+    parts = spark.createDataFrame([("s", "c", "+", "t", "intron", 1, 5), ("s", "c", "+", "t", "intron", 8, 9)], "species string, chrom string, strand string, tx_id string, kind string, start bigint, end bigint")
+    hints = spark.createDataFrame([("s", "c", "+", "intron", 1, 5, "E", 3), ("s", "c", "+", "intron", 1, 5, "P", 1)], "species string, chrom string, strand string, kind string, start bigint, end bigint, src string, mult int")
+    got = iso.evidence_features(parts, hints).first()
+    assert got.relative == 0.5 and abs(got.absolute - 4.110874) < 1e-5 and abs(got["mean"] - 3.417727) < 1e-5
+
+
 def test_sources_and_sinks(spark, tmp_path):
     plain, packed = tmp_path / "a.fa", tmp_path / "b.fa.gz"
     plain.write_text(">NC_1 Homo x chromosome 1, p\nACGT\nAC\n>NT_1 y\nGG\n>X z\n\n")
