@@ -118,22 +118,24 @@ def channel_values(features: DataFrame, size: int, channels: list[str]) -> DataF
 def exon_windows(exons: DataFrame, length: int) -> DataFrame:
     """(species, chrom, strand, window_start): 0-based starts of windows of fixed length centred on exons.
 
-    An exon longer than length is halved at its middle until its pieces fit. exons: species, chrom, strand, start, end,
-    1-based closed. Starts left of the sequence are clamped to 0; equal windows come once.
+    An exon of length bases or more is halved (the first half is the longer one) until its pieces fit; a window's spare
+    bases lie evenly around its piece. exons: species, chrom, strand, start, end, 1-based closed. Starts left of the
+    sequence are clamped to 0; equal windows come once.
     """
-    pieces = exons.filter("start <= end").select("species", "chrom", "strand", F.struct((F.col("start") - 1).alias("s"), F.col("end").alias("e")).alias("x")).distinct()
-    done = None
-    fits = F.col("x.e") - F.col("x.s") <= length - 2
+    # pieces are 0-based closed from here on
+    pieces = exons.filter("start <= end").select("species", "chrom", "strand", (F.col("start") - 1).alias("s"), (F.col("end") - 1).alias("e")).distinct()
+    done, fits = None, F.col("e") - F.col("s") <= length - 2
     while True:  # at most log2(longest exon / length) rounds
         ready = pieces.filter(fits)
         done = ready if done is None else done.unionByName(ready)
         rest = pieces.filter(~fits)
         if rest.isEmpty():
             break
-        mid = F.floor((F.col("x.s") + F.col("x.e")) / 2)
-        pieces = rest.withColumn("x", F.explode(F.array(F.struct(F.col("x.s").alias("s"), mid.alias("e")), F.struct(mid.alias("s"), F.col("x.e").alias("e")))))
-    centre = F.floor((F.col("x.s") + F.col("x.e")) / 2)
-    return done.select("species", "chrom", "strand", F.greatest(centre - length // 2, F.lit(0)).alias("window_start")).distinct()
+        middle = F.col("s") + F.expr("(e - s) div 2")
+        halves = F.explode(F.array(F.struct(F.col("s").alias("a"), middle.alias("z")), F.struct((middle + 1).alias("a"), F.col("e").alias("z"))))
+        pieces = rest.withColumn("x", halves).select("species", "chrom", "strand", F.col("x.a").alias("s"), F.col("x.z").alias("e"))
+    spare = F.expr(f"({length} - (e - s + 1)) div 2")
+    return done.select("species", "chrom", "strand", F.greatest(F.col("s") - spare, F.lit(0).cast("bigint")).alias("window_start")).distinct()
 
 
 def covered_offsets(windows: DataFrame, cds: DataFrame, bin_bits: int = 13) -> DataFrame:

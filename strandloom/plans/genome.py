@@ -534,9 +534,9 @@ def empty_chunks(spark, d):
     return grid.join(ch.on_grid(f, 9999), ["species", "chrom", "chunk_no"], "left_anti")
 
 
-@query(f"""WITH RECURSIVE {FEATURES_SQL}, pc(species, chrom, strand, a, z) AS (SELECT DISTINCT species, chrom, strand, s - 1, e FROM f WHERE feature = 'exon'
-       UNION SELECT species, chrom, strand, CASE h WHEN 0 THEN a ELSE (a + z) // 2 END, CASE h WHEN 0 THEN (a + z) // 2 ELSE z END FROM pc, (VALUES (0), (1)) v(h) WHERE z - a > 148)
-       SELECT DISTINCT species, chrom, strand, greatest((a + z) // 2 - 75, 0) AS window_start FROM pc WHERE z - a <= 148""")
+@query(f"""WITH RECURSIVE {FEATURES_SQL}, pc(species, chrom, strand, a, z) AS (SELECT DISTINCT species, chrom, strand, s - 1, e - 1 FROM f WHERE feature = 'exon'
+       UNION SELECT species, chrom, strand, CASE h WHEN 0 THEN a ELSE a + (z - a) // 2 + 1 END, CASE h WHEN 0 THEN a + (z - a) // 2 ELSE z END FROM pc, (VALUES (0), (1)) v(h) WHERE z - a > 148)
+       SELECT DISTINCT species, chrom, strand, greatest(a - (150 - (z - a + 1)) // 2, 0) AS window_start FROM pc WHERE z - a <= 148""")
 def exon_windows(spark, d):
     return ch.exon_windows(features(spark, d).filter("feature = 'exon'"), 150)
 
