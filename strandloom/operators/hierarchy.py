@@ -15,7 +15,11 @@ from strandloom.session import materialize
 
 
 
-def _frontiers(inner: DataFrame, roots: DataFrame, levels_per_job: int) -> list[DataFrame]:
+#: A parent of more than 1/SHARE of all nodes is hot; its children are spread over SALTS reducers.
+SHARE, SALTS = 200, 32
+
+
+def _frontiers(inner: DataFrame, roots: DataFrame, levels_per_job: int, hot: list[int]) -> list[DataFrame]:
     """Tables (node, root, depth, path) of all nodes below roots, by level; path holds root ... node."""
     done, frontier, rest, depth, left = [], roots, inner, 0, inner.count()
     gone = since = 0
@@ -23,8 +27,15 @@ def _frontiers(inner: DataFrame, roots: DataFrame, levels_per_job: int) -> list[
         # one join a level: each row follows one line of children; nodes on several lines come once
         line = frontier.select(F.col("node").alias("at"), "root", "depth", "path", F.array().cast("array<bigint>").alias("down"))
         step = rest.select(F.col("parent").alias("at"), F.col("node").alias("child"))
+        if hot:
+            step = step.withColumn("salt", F.when(F.col("at").isin(hot), F.pmod("child", F.lit(SALTS))).otherwise(0).cast("int"))
         for i in range(levels_per_job):
-            line = line.join(step, "at", "left" if i else "inner").select(
+            if hot:  # one copy of a hot node's line for each salt; the first keeps the line if it has no child
+                line = line.withColumn("salt", F.explode(F.when(F.col("at").isin(hot), F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))))
+            line = line.join(step, ["at", "salt"] if hot else "at", "left" if i else "inner")
+            if hot:
+                line = line.filter("child is not null or salt = 0")
+            line = line.select(
                 F.col("child").alias("at"), "root", "depth", "path", F.when(F.col("child").isNull(), F.col("down")).otherwise(F.concat("down", F.array("child"))).alias("down")
             )
         block = line.select("root", "depth", "path", "down", F.posexplode("down").alias("i", "node")).dropDuplicates(["node"]).select(
@@ -56,6 +67,8 @@ def hierarchy(edges: DataFrame, levels_per_job: int = 12) -> DataFrame:
     known = edges.select(F.col("node").alias("parent"))
     children = edges.filter(F.col("parent").isNotNull()).groupBy("parent").agg(F.count("*").alias("kids")).join(known, "parent", "left_semi")
     children = materialize(children, "kids")
+    # fewer than SHARE parents can be that large, whatever the data
+    hot = [r[0] for r in children.filter(F.col("kids") * SHARE > edges.count()).select("parent").collect()]
     inner = edges.join(children.select(F.col("parent").alias("node"), "kids"), "node")
     # a parent that has no row counts as none
     inner = inner.join(children.select("parent", F.lit(1).alias("__has")), "parent", "left").select(
@@ -65,7 +78,7 @@ def hierarchy(edges: DataFrame, levels_per_job: int = 12) -> DataFrame:
     roots = inner.filter(F.col("parent").isNull()).select("node", F.col("node").alias("root"), F.lit(0).alias("depth"), F.array("node").alias("path"))
     links = inner.filter(F.col("parent").isNotNull()).select("node", "parent")
     reached = roots
-    for block in _frontiers(links, roots, levels_per_job):
+    for block in _frontiers(links, roots, levels_per_job, hot):
         reached = reached.unionByName(block)
     reached = materialize(reached, "reached")
     lost = materialize(inner.join(reached.select("node"), "node", "left_anti"), "lost")
@@ -77,7 +90,7 @@ def hierarchy(edges: DataFrame, levels_per_job: int = 12) -> DataFrame:
     if lost.isEmpty():
         top = tree
     else:
-        top = tree.unionByName(_circles(lost, levels_per_job))
+        top = tree.unionByName(_circles(lost, levels_per_job, hot))
     top = materialize(top, "top")
     parents = top.select(F.col("node").alias("parent"), F.col("root").alias("p_root"), F.col("depth").alias("p_depth"), F.col("path").alias("p_path"))
     leaves = edges.join(children.select(F.col("parent").alias("node")), "node", "left_anti").join(parents, "parent", "left")
@@ -93,7 +106,7 @@ def hierarchy(edges: DataFrame, levels_per_job: int = 12) -> DataFrame:
     return top.unionByName(leaf_rows)
 
 
-def _circles(lost: DataFrame, levels_per_job: int) -> DataFrame:
+def _circles(lost: DataFrame, levels_per_job: int, hot: list[int]) -> DataFrame:
     """Rows of the inner nodes that no root reaches: on a circle, or on a tree that hangs from one."""
     # after enough doublings every pointer is on a circle, and each circle's nodes are exactly the targets
     jump = lost.select("node", F.col("parent").alias("to"), F.least("node", "parent").alias("low"))
@@ -110,7 +123,7 @@ def _circles(lost: DataFrame, levels_per_job: int) -> DataFrame:
     roots = circle.select("node", F.col("circle").alias("root"), F.lit(0).alias("depth"), F.array("node").alias("path"))
     links = lost.join(circle.select("node"), "node", "left_anti").select("node", "parent")
     below = None
-    for block in _frontiers(links, roots, levels_per_job):
+    for block in _frontiers(links, roots, levels_per_job, hot):
         below = block if below is None else below.unionByName(block)
     kids = lost.select("node", "kids")
     whole = roots.select("node", "root").unionByName(below.select("node", "root")).join(kids, "node").groupBy("root").agg((F.sum("kids") - 1).alias("n_desc"))

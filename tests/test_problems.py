@@ -108,6 +108,17 @@ def test_hierarchy_agrees_with_brute_force(spark):
         assert got == brute_hierarchy(parent)
 
 
+def test_hierarchy_with_a_hot_parent(spark, monkeypatch):
+    import strandloom.operators.hierarchy as h
+
+    parent = {1: None} | {i: 1 for i in range(2, 80)} | {i: i - 78 for i in range(80, 150)} | {200: 200, 201: 200, 202: 201}
+    df = spark.createDataFrame(list(parent.items()), "node bigint, parent bigint")
+    monkeypatch.setattr(h, "SHARE", 10)
+    monkeypatch.setattr(h, "SALTS", 3)
+    got = {r.node: (r.root, r.depth, r.n_desc) for r in hierarchy(df, 2).collect()}
+    assert got == brute_hierarchy(parent)
+
+
 def test_hierarchy_paths_circles_and_empty(spark):
     df = spark.createDataFrame([(1, None, "x"), (2, 1, "x"), (3, 2, "x"), (4, 5, "x"), (5, 4, "x"), (6, 5, "x"), (7, 99, "x")], "node bigint, parent bigint, depth string")
     got = {r.node: (r.path, r.on_circle) for r in hierarchy(df).collect()}
