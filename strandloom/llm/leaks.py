@@ -259,7 +259,9 @@ def stretch_words(item: Item, page: np.ndarray, lines: np.ndarray) -> int:
     word = item.word.tolist()
     for k, (i, d, n) in enumerate(segs):
         top = (n, i, d)
-        for score, bi, bd, ei, ed in reversed(best[-60:]):
+        for score, bi, bd, ei, ed in sorted(best[-60:], reverse=True):
+            if score + n <= top[0]:  # the rest scores less
+                break
             cut = max(0, ei - i, ed - d)
             skip = (d - ed) - (i - ei)
             if cut > n - 2 or i + cut - ei > 40 or score + n - cut - min(abs(skip), 2) <= top[0]:
