@@ -101,7 +101,7 @@ def test_long_field_and_repeated_rows(spark):
 
 def test_hierarchy_agrees_with_brute_force(spark):
     rng = random.Random(4)
-    for n in (1, 30, 120):
+    for n in (1, 90):
         parent = {i: rng.choice([None, i, rng.randint(0, n + 3), rng.randint(0, n), max(0, i - 1)]) for i in range(1, n + 1)}
         df = spark.createDataFrame(list(parent.items()), "node bigint, parent bigint")
         got = {r.node: (r.root, r.depth, r.n_desc) for r in hierarchy(df, 3).collect()}
