@@ -27,7 +27,7 @@ STEPS, SAMPLES, REPEATS, LOOKUPS = 56, 36, 6, (14, 28)
 #: Words of an item that make a leak, and letters of the exact seeds that the check chains.
 MIN_WORDS, SEED = 15, 6
 #: Items are indexed in blocks of at most this many characters; each block is one pass over the corpus.
-BLOCK_CHARS = 8_000_000
+BLOCK_CHARS = 2_000_000
 #: Pixels between the left edges of two columns, at least.
 COLUMN_GAP = 100
 #: Letters of other matter that a stretch may step over between two of its lines.
