@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 #: Public 8-bit codecs that texts were written in or read with; UTF-8 as written encoding goes with each of them.
-READ_AS = ["cp1252", "latin-1", "cp1250", "iso8859-2", "cp1251", "koi8-r", "cp866", "cp437", "cp850", "cp852", "mac-roman", "mac-cyrillic", "cp1253", "iso8859-7", "iso8859-5", "cp737", "cp1257", "cp855", "mac-greek", "mac-latin2"]
+READ_AS = ["cp1252", "latin-1", "cp1250", "iso8859-2", "cp1251", "koi8-r", "cp866", "cp437", "cp850", "cp852", "mac-roman", "mac-cyrillic", "cp1253", "iso8859-7", "iso8859-5", "cp737", "iso8859-15", "cp1254", "cp1257", "iso8859-9", "koi8-u", "cp855", "mac-greek", "mac-latin2"]
 #: Families of 8-bit codecs that are mistaken for each other (same script), and those any of them is read as.
 FAMILIES = [["cp1252", "mac-roman", "cp437", "cp850", "iso8859-15"], ["cp1250", "iso8859-2", "cp852", "mac-latin2"], ["cp1251", "koi8-r", "cp866", "iso8859-5", "mac-cyrillic", "cp855"], ["cp1253", "iso8859-7", "cp737", "mac-greek"]]
 WESTERN = ["cp1252", "latin-1", "cp437", "cp850", "mac-roman"]
@@ -27,11 +27,9 @@ START_SHARE, POOLS, ROUNDS = 0.0005, 4096, 3
 #: UTF-8 read as something else leaves pairs that clean text hardly has: up to this share of a character's occurrences
 #: may have been garbled in one way.
 MOST = 0.2
-#: A chain that less than this many lines of the whole corpus are expected to have gone through is dropped.
-LEAST_LINES = 0.5
-#: A line gets its posterior where the best that each transition says for any chain, and the most frequent chain's
-#: prior, together come to this log-odds; below it no single chain can reach those odds.
-ODDS = -1.0
+#: A line gets its posterior where an upper bound of the summed odds of all chains comes to this logarithm; a line is
+#: garbled above 0, so none below can be.
+ODDS = -2.3
 
 #: ASCII is seen by class: lower, upper, digit, blank, line end, other.
 _ASCII_CLASSES, _OTHER = 6, 6
@@ -64,6 +62,16 @@ def _chains() -> list[tuple[tuple[str, str], ...]]:
 CHAINS = _chains()
 
 
+def _groups() -> np.ndarray:
+    """Group of each chain: by what was read as what, so that chains of a group say much the same of a transition."""
+    script = {r: i for i, f in enumerate([[*FAMILIES[0], "latin-1", "cp1254", "iso8859-9"], *FAMILIES[1:]]) for r in f} | {"koi8-u": 2, "cp1257": 1}
+    kinds = [(len(c) > 1, c[0][0] == "utf-8" or script[c[0][0]], script[c[-1][1]]) for c in CHAINS]
+    return np.array([sorted(set(kinds)).index(k) for k in kinds])
+
+
+GROUP = _groups()
+
+
 def _through(ch: str, chain) -> str | None:
     """What a character becomes on a chain; None if it cannot have been written so."""
     for written, read in chain:
@@ -134,10 +142,10 @@ _CONTROL = np.isin(np.arange(N), [_INDEX[chr(c)] for c in range(0x80, 0xA0)])
 @dataclass
 class Model:
     row: np.ndarray  # bigram code -> row of llr, -1 if it never occurred
-    active: np.ndarray  # numbers of the chains that are still considered; columns of llr and prior
     llr: np.ndarray  # rows x chains: log-likelihood of the transition on the chain over that in clean text
-    best: np.ndarray  # rows: the most that it says for any chain
+    best: np.ndarray  # rows x groups: the most that it says for any chain of the group
     prior: np.ndarray  # pools x chains: log share of the chain over that of clean lines
+    group: np.ndarray  # pools x groups: logarithm of the group's summed shares over that of clean lines
 
 
 def _pushed():
@@ -160,7 +168,7 @@ def _pushed():
     return got
 
 
-def make_model(codes: np.ndarray, counts: np.ndarray, seen: np.ndarray, singles: np.ndarray, prior: np.ndarray, active: np.ndarray) -> Model:
+def make_model(codes: np.ndarray, counts: np.ndarray, seen: np.ndarray, singles: np.ndarray, prior: np.ndarray) -> Model:
     """Model from the bigrams of clean text (codes, counts), all bigrams seen, and counts of single characters.
 
     The pairs inside the image of one character are taken off the clean counts as far as garbling explains them, so
@@ -194,10 +202,12 @@ def make_model(codes: np.ndarray, counts: np.ndarray, seen: np.ndarray, singles:
     sums = np.bincount(a, counts, N)
     sums[:_ASCII_CLASSES] = ascii_left
     base = log_p(clean, sums)
-    llr = np.zeros((len(seen), len(active)), np.float32)
-    for col, k in enumerate(active):
-        llr[:, col] = log_p(*push(k, counts)) - base
-    return Model(row, active, llr, llr.max(axis=1, initial=0).astype(float), prior[:, active])
+    llr = np.zeros((len(seen), len(CHAINS)), np.float32)
+    for k in range(len(CHAINS)):
+        llr[:, k] = log_p(*push(k, counts)) - base
+    groups = [np.flatnonzero(GROUP == g) for g in range(GROUP.max() + 1)]
+    best = np.stack([llr[:, g].max(axis=1) for g in groups], axis=1)
+    return Model(row, llr, best, prior, np.stack([np.logaddexp.reduce(prior[:, g], axis=1) for g in groups], axis=1))
 
 
 _PUSHED = _pushed()
@@ -221,22 +231,21 @@ def transitions(cls: np.ndarray):
 
 
 def posteriors(model: Model, codes: np.ndarray, line: np.ndarray, pool_of_line: np.ndarray):
-    """(lines, probabilities over [clean, chains...]) of the lines that could be garbled; all others are clean."""
+    """(lines, probabilities over [clean, chains...]) of the lines that could be garbled; all others are clean. The
+    transitions come line by line."""
     rows = model.row[codes]
-    best = np.where(rows >= 0, model.best[np.maximum(rows, 0)], 0.0) if len(model.best) else np.zeros(len(rows))
-    bound = np.bincount(line, best, len(pool_of_line)) + model.prior.max(axis=1, initial=-1e9)[pool_of_line]
-    lines = np.flatnonzero(bound > ODDS)
-    if not len(lines):
-        return lines, np.zeros((0, len(model.active) + 1))
-    wanted = bound > ODDS
-    pick = np.flatnonzero(wanted[line] & (rows >= 0))
-    pick = pick[np.argsort(line[pick], kind="stable")]
-    sub, own = rows[pick], line[pick]
-    lines = np.unique(own)
-    if not len(lines):
-        return lines, np.zeros((0, len(model.active) + 1))
+    known = np.flatnonzero(rows >= 0)
+    rows, own = rows[known], line[known]
+    if len(rows):
+        starts = np.flatnonzero(np.concatenate([[True], own[1:] != own[:-1]]))
+        bound = np.logaddexp.reduce(np.add.reduceat(model.best[rows], starts, axis=0) + model.group[pool_of_line[own[starts]]], axis=1)
+        pick = np.repeat(bound > ODDS, np.diff(np.append(starts, len(own))))
+        rows, own = rows[pick], own[pick]
+    if not len(rows):
+        return np.zeros(0, np.int64), np.zeros((0, len(CHAINS) + 1))
     starts = np.flatnonzero(np.concatenate([[True], own[1:] != own[:-1]]))
-    total = np.add.reduceat(model.llr[sub], starts, axis=0).astype(float) + model.prior[pool_of_line[lines]]
+    lines = own[starts]
+    total = np.add.reduceat(model.llr[rows], starts, axis=0).astype(float) + model.prior[pool_of_line[lines]]
     full = np.concatenate([np.zeros((len(lines), 1)), total], axis=1)
     full -= full.max(axis=1, keepdims=True)
     p = np.exp(full)
@@ -296,7 +305,7 @@ def fit(df: DataFrame, source: str = "source", fields: tuple[str, ...] = ("text"
                             clean_share[lines] = p[:, 0]
                             weight = clean_share[line]
                             for k in np.flatnonzero(p[:, 1:].sum(axis=0) > 1e-3):
-                                for q, v in zip(*_sums(pool_of_line[lines] * len(CHAINS) + m.active[k], p[:, 1 + k])):
+                                for q, v in zip(*_sums(pool_of_line[lines] * len(CHAINS) + k, p[:, 1 + k])):
                                     share[q] = share.get(q, 0.0) + v
                             garbled = np.zeros(N)
                             np.add.at(garbled, codes // N, 1 - weight)
@@ -329,15 +338,14 @@ def fit(df: DataFrame, source: str = "source", fields: tuple[str, ...] = ("text"
 def next_model(first: bool, codes, counts, singles, lines, share) -> Model:
     """Maximization: the model from clean bigrams, single characters, lines of each pool and lines of each chain."""
     if first:
-        rate, active = np.full((POOLS, len(CHAINS)), START_SHARE), np.arange(len(CHAINS))
+        rate = np.full((POOLS, len(CHAINS)), START_SHARE)
     else:
-        active = np.flatnonzero(share.sum(axis=0) >= LEAST_LINES)
         # a pool's shares lean on those of all pools with the weight of 200 lines
         overall = (share.sum(axis=0) + 1e-5 * lines.sum()) / max(lines.sum(), 1)
         rate = (share + 200 * overall) / (lines[:, None] + 200)
     rate = np.clip(rate, 1e-12, 0.2)
     prior = np.log(rate) - np.log(np.maximum(1 - rate.sum(axis=1, keepdims=True), 0.2))
-    return make_model(codes, counts, codes, singles, prior, active)
+    return make_model(codes, counts, codes, singles, prior)
 
 
 def _sums(keys: np.ndarray, weight: np.ndarray):
@@ -351,7 +359,7 @@ def judge(model: Model, texts: list[str], pools: np.ndarray):
     cls, n_lines = classes_of(texts)
     codes, line = transitions(cls)
     lines, p = posteriors(model, codes, line, np.repeat(pools, n_lines))
-    bad = {int(x): model.active[np.argsort(-q[1:])[:6]].tolist() for x, q in zip(lines, p) if q[0] < 0.5}
+    bad = {int(x): np.argsort(-q[1:])[:6].tolist() for x, q in zip(lines, p) if q[0] < 0.5}
     lost = _INDEX["�"]
     for x in np.unique(line[(codes // N == lost) | (codes % N == lost)]).tolist():
         bad.setdefault(x, [])

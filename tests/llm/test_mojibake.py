@@ -49,3 +49,34 @@ def test_undo_reverses_every_chain():
             image = mb._through(text[0], chain) if len(text) == 1 else "".join(mb._through(c, chain) for c in text)
             if image is not None:
                 assert mb.undo(image, chain) == text
+
+
+def test_one_line_of_a_rare_codec_is_restored(spark):
+    rng = random.Random(3)
+    words = WORDS["en"] + "für wäre größe schön über käse".split()
+    rows = [(i, "\n".join(" ".join(rng.choice(words) for _ in range(7)) for _ in range(5)), "a") for i in range(600)]
+    german = "für wäre schön über käse größe"
+    cyrillic = [(1000 + i, " ".join(rng.choice(WORDS["ru"]) for _ in range(30)), "b") for i in range(100)]
+    bad = {}
+    for k, (text, read) in enumerate([(german, "iso8859-15"), (WORDS["ru"][0] + " народ школа земля", "cp1254"), (WORDS["ru"][1] + " народ школа земля", "koi8-u")]):
+        bad[2000 + k] = text
+        rows.append((2000 + k, "".join(mb._through(c, (("utf-8", read),)) for c in text), "a"))
+    df = spark.createDataFrame(rows + cyrillic, "doc_id bigint, text string, source string")
+    assert {r.doc_id: r.text for r in mb.repaired(df, "doc_id").collect()} == bad
+
+
+def test_skipped_lines_cannot_be_garbled(monkeypatch):
+    import numpy as np
+
+    rows, _ = corpus(200)
+    texts = [r[1] for r in rows]
+    cls, n_lines = mb.classes_of(texts)
+    codes, line = mb.transitions(cls)
+    seen, counts = np.unique(codes, return_counts=True)
+    pools = np.zeros(n_lines.sum(), np.int64)
+    model = mb.next_model(True, seen, counts.astype(float), np.bincount(cls, minlength=mb.N).astype(float), np.ones(mb.POOLS), None)
+    some = dict(zip(*mb.posteriors(model, codes, line, pools)))
+    monkeypatch.setattr(mb, "ODDS", -1e9)
+    full = dict(zip(*mb.posteriors(model, codes, line, pools)))
+    assert len(some) < len(full) and all(full[x][0] > 0.9 for x in set(full) - set(some))
+    assert all(np.allclose(some[x], full[x], atol=1e-5) for x in some)
