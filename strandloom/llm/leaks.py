@@ -12,6 +12,8 @@ from __future__ import annotations
 
 import unicodedata
 from dataclasses import dataclass, field
+from itertools import groupby
+from operator import itemgetter
 
 import numpy as np
 import pyarrow as pa
@@ -30,8 +32,8 @@ MIN_WORDS, SEED = 15, 6
 BLOCK_CHARS = 2_000_000
 #: Pixels between the left edges of two columns, at least.
 COLUMN_GAP = 100
-#: Letters of other matter that a stretch may step over between two of its lines.
-MAX_OTHER = 900
+#: Letters of an item that may lie between two matches of a chain.
+MAX_GAP = 40
 
 #: Signs that scanning takes for one another, under one letter.
 LOOKALIKES = {"0": "o", "1": "l", "i": "l", "j": "l", "5": "s", "8": "b"}
@@ -213,7 +215,7 @@ def edits(a: bytes, b: bytes, most: int = 1 << 30) -> int:
 
 
 def _seeds(item: Item, page: np.ndarray):
-    """Maximal exact matches (item position, page position, length) that start from equal seeds."""
+    """Maximal exact matches (item position, page position, length) that start from equal seeds, in this order."""
     g = _grams(page)
     lo, hi = np.searchsorted(item.grams, g, "left"), np.searchsorted(item.grams, g, "right")
     n = hi - lo
@@ -223,68 +225,81 @@ def _seeds(item: Item, page: np.ndarray):
     d, i = d[order], i[order]
     new = np.flatnonzero(np.concatenate([[True], (np.diff(d) != 1) | (np.diff(i) != 1)])) if len(d) else np.zeros(0, np.int64)
     length = np.diff(np.append(new, len(d))) + SEED - 1
-    out = sorted(zip(d[new].tolist(), i[new].tolist(), length.tolist()))
-    return [(i, d, n) for d, i, n in out]
-
-
-def _bridge(ib: bytes, db: bytes, ends: list[int], begins: list[int], i0: int, i1: int, d0: int, d1: int) -> int | None:
-    """Edits between two matches that end and begin there, or None if they don't belong together. Lines of other
-    matter may stand between; they are stepped over from a line's end to a line's begin."""
-    want = i1 - i0
-    allowed = 2 + want * 2 // 5
-    have = d1 - d0
-    if abs(have - want) <= allowed:
-        cost = edits(ib[i0:i1], db[d0:d1], allowed)
-        return cost if cost <= allowed else None
-    if have < want or have > MAX_OTHER:
-        return None
-    # rest of the line after the first match, start of the line before the second one
-    tail, head = ends[d0 - 1] if d0 else 0, begins[d1]
-    if tail > head or abs(tail - d0 + d1 - head - want) > allowed:
-        return None
-    cost = edits(ib[i0:i1], db[d0:tail] + db[head:d1], allowed)
-    return cost if cost <= allowed else None
+    i, d = i[new], d[new]
+    order = np.lexsort((d, i))
+    return i[order], d[order], length[order]
+
+
+def _links(i: np.ndarray, d: np.ndarray, n: np.ndarray, begins: np.ndarray, ends: np.ndarray):
+    """(match, earlier match, letters cut off the match, least edits between) of all pairs that may follow each other.
+
+    Item and page either go on by about as many letters, or the page goes on by whole lines of other matter, however
+    many, from the end of the line of the earlier match to the begin of the line of the later one.
+    """
+    ei, ed, longest = i + n, d + n, int(n.max())
+    tail = ends[ed - 1]
+    step = max(1, (1 << 20) // len(i))
+    for k0 in range(0, len(i), step):
+        k = np.arange(k0, min(k0 + step, len(i)))[:, None]
+        j = np.arange(np.searchsorted(i, i[k0] - MAX_GAP - longest), k[-1, 0])[None, :]
+        cut = np.maximum(np.maximum(ei[j] - i[k], ed[j] - d[k]), 0)
+        want = i[k] + cut - ei[j]
+        k, j = np.nonzero((j < k) & (cut <= n[k] - 2) & (want <= MAX_GAP))
+        cut, want, k, j = cut[k, j], want[k, j], k + k0, j + np.searchsorted(i, i[k0] - MAX_GAP - longest)
+        allowed = 2 + want * 2 // 5
+        at = d[k] + cut
+        over = np.abs(at - ed[j] - want)
+        head = begins[at]
+        far = (over > allowed) & (at - ed[j] > want) & (tail[j] <= head)
+        over = np.where(far, np.abs(tail[j] - ed[j] + at - head - want), over)
+        ok = over <= allowed
+        yield from zip(*(x[ok].tolist() for x in (k, j, cut, over, far)))
 
 
 def stretch_words(item: Item, page: np.ndarray, lines: np.ndarray) -> int:
-    """Words of the item in the longest unbroken stretch that the page carries."""
-    segs = _seeds(item, page)
-    if not segs:
+    """Words of the item in the longest unbroken stretch that the page carries; counting ends at a leak's."""
+    i, d, n = _seeds(item, page)
+    if not len(i):
         return 0
     ib, db = item.letters.tobytes(), page.tobytes()
     cuts = np.concatenate([[0], np.flatnonzero(np.diff(lines)) + 1, [len(lines)]])
     nth = np.searchsorted(cuts, np.arange(len(lines)), side="right")
-    begins, ends = cuts[nth - 1].tolist(), cuts[nth].tolist()
-    best: list[tuple[int, int, int, int, int]] = []  # score, item begin, page begin, item end, page end
-    word = item.word.tolist()
-    for k, (i, d, n) in enumerate(segs):
-        top = (n, i, d)
-        for score, bi, bd, ei, ed in sorted(best[-60:], reverse=True):
-            if score + n <= top[0]:  # the rest scores less
+    begins, ends = cuts[nth - 1], cuts[nth]
+    # per match the best chain that ends with it: score, item begin, page begin; and whether another one goes on from it
+    links = groupby(_links(i, d, n, begins, ends), itemgetter(0))
+    begins, ends = begins.tolist(), ends.tolist()
+    i, d, n = i.tolist(), d.tolist(), n.tolist()
+    best, last = list(zip(n, i, d)), [True] * len(n)
+    for k, pairs in links:
+        top, by = best[k], None
+        for least, j, cut, far in sorted((least + cut - best[j][0], j, cut, far) for _, j, cut, least, far in pairs):
+            if n[k] - least <= top[0]:  # the rest scores less
                 break
-            cut = max(0, ei - i, ed - d)
-            skip = (d - ed) - (i - ei)
-            if cut > n - 2 or i + cut - ei > 40 or score + n - cut - min(abs(skip), 2) <= top[0]:
-                continue
-            cost = _bridge(ib, db, ends, begins, ei, i + cut, ed, d + cut)
-            if cost is not None and score + n - cut - cost > top[0]:
-                top = (score + n - cut - cost, bi, bd)
-        best.append((*top, i + n, d + n))
-    most = 0
-    for score, bi, bd, ei, ed in sorted(best, reverse=True)[:3]:
+            i0, i1, d0, d1 = i[j] + n[j], i[k] + cut, d[j] + n[j], d[k] + cut
+            allowed = 2 + (i1 - i0) * 2 // 5
+            cost = edits(ib[i0:i1], db[d0 : ends[d0 - 1]] + db[begins[d1] : d1] if far else db[d0:d1], allowed)
+            if cost <= allowed and best[j][0] + n[k] - cut - cost > top[0]:
+                top, by = (best[j][0] + n[k] - cut - cost, *best[j][1:]), j
+        if by is not None:
+            best[k], last[by] = top, False
+    word, edge = item.word, np.searchsorted(item.word, np.arange(item.n_words + 1)).tolist()
+    need, most, begun = min(MIN_WORDS, item.n_words), 0, {}
+    chains = sorted(((i[k] + n[k] - best[k][1], best[k][1], best[k][2], i[k] + n[k], d[k] + n[k]) for k in range(len(n)) if last[k]), reverse=True)
+    for _, bi, bd, ei, ed in chains:
         # whole words inside, and words cut by the first and last match if the page has them with few edits
-        first, last = word[bi], word[ei - 1]
-        a, e = _grow(item, ib, db, bi, bd, first, -1), _grow(item, ib, db, ei, ed, last, 1)
-        most = max(most, e - a + 1)
-        if most >= MIN_WORDS:
+        if (bi, bd) not in begun:
+            begun[bi, bd] = _grow(edge, ib, db, bi, bd, int(word[bi]), -1)
+        most = max(most, _grow(edge, ib, db, ei, ed, int(word[ei - 1]), 1) - begun[bi, bd] + 1)
+        if most >= need:
             break
     return most
 
 
-def _grow(item: Item, ib: bytes, db: bytes, i: int, d: int, w: int, step: int) -> int:
-    """The outermost word in this direction that the page still carries next to position d."""
+def _grow(edge: list[int], ib: bytes, db: bytes, i: int, d: int, w: int, step: int) -> int:
+    """The outermost word in this direction that the page still carries next to position d; edge has the words' begins
+    and the end of the last one."""
     while True:  # letters of the border word that are still outside the match
-        lo, hi = (int(x) for x in np.searchsorted(item.word, [w, w + 1]))
+        lo, hi = edge[w], edge[w + 1]
         rest = ib[lo:i] if step < 0 else ib[i:hi]
         if rest:
             near = db[max(0, d - len(rest)) : d] if step < 0 else db[d : d + len(rest)]
@@ -295,7 +310,7 @@ def _grow(item: Item, ib: bytes, db: bytes, i: int, d: int, w: int, step: int) -
             d = max(0, d - len(rest)) if step < 0 else d + len(rest)
             i = lo if step < 0 else hi
         w += step
-        if not 0 <= w < item.n_words or (hi == len(ib) and step > 0) or (lo == 0 and step < 0):
+        if not 0 <= w < len(edge) - 1 or (hi == len(ib) and step > 0) or (lo == 0 and step < 0):
             return w - step
 
 

@@ -103,3 +103,33 @@ def test_repeated_walks_agree():
     a, _, s = lk.letters_of("the market of Graworton was held in the village hall today again and again")
     who, h = lk.embed(a, s, 0)[:2]
     assert len(who) == len(s) and (lk.embed(a, s, 0)[1] == h).all()
+
+
+def carried(item, page):
+    """Words of the item that the page carries, by the exact check alone."""
+    import numpy as np
+
+    index = lk.make_index([(0, item)])
+    letters, at, _ = lk.letters_of(page)
+    line = np.cumsum(np.array([ch == "\n" for ch in page]))[at]
+    return lk.stretch_words(index.items[0], letters, line)
+
+
+def test_long_dense_matter_inside_a_leak():
+    rng = random.Random(5)
+    item = words(rng, 20)
+    first, second = " ".join(item[:10]), " ".join(item[10:])
+    for n in (25, 60, 400):
+        # other matter of the same syllables, so that chance matches crowd in
+        advert = [" ".join(words(rng, 5)) for _ in range(n)]
+        assert carried(" ".join(item), "\n".join(["before it", first, *advert, second, "after it"])) >= 18
+        assert carried(" ".join(item), "\n".join(["before it", first, *advert, "after it"])) < 15
+
+
+def test_the_longest_chain_counts_even_if_others_score_more():
+    # exact copies of 14 words score best, while the whole text stands there with misread letters
+    rng = random.Random(9)
+    item = ["".join(rng.choice("abcdefghknoprtuvwy") for _ in range(7)) for _ in range(14)] + ["an", "of", "to", "we"]
+    part = " ".join(item[:14])
+    whole = " ".join(w[:3] + "z" + w[4:] if i % 2 and i < 14 else w for i, w in enumerate(item))
+    assert carried(" ".join(item), "\n".join([part, "xx"] * 5 + [whole])) >= 17
