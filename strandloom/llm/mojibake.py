@@ -22,11 +22,16 @@ READ_AS = ["cp1252", "latin-1", "cp1250", "iso8859-2", "cp1251", "koi8-r", "cp86
 #: Families of 8-bit codecs that are mistaken for each other (same script), and those any of them is read as.
 FAMILIES = [["cp1252", "mac-roman", "cp437", "cp850", "iso8859-15"], ["cp1250", "iso8859-2", "cp852", "mac-latin2"], ["cp1251", "koi8-r", "cp866", "iso8859-5", "mac-cyrillic", "cp855"], ["cp1253", "iso8859-7", "cp737", "mac-greek"]]
 WESTERN = ["cp1252", "latin-1", "cp437", "cp850", "mac-roman"]
-#: Chains start with this share of the lines; sources are pooled into this many priors; rounds of EM.
-START_SHARE, POOLS, ROUNDS = 0.0005, 4096, 3
+#: Chains start with this share of the lines; sources are pooled into this many priors; rounds of EM at most.
+START_SHARE, POOLS, ROUNDS = 0.0005, 4096, 8
 #: UTF-8 read as something else leaves pairs that clean text hardly has: up to this share of a character's occurrences
 #: may have been garbled in one way.
 MOST = 0.2
+#: Pools with more than this share of the rows are first judged by the clean text of all others: were one wrongly
+#: decoded throughout, its own text would make that look clean. EM ends when the chains' lines change less than SETTLED.
+HEAVY, SETTLED = 0.1, 0.05
+#: Share of clean lines in a pool, at least.
+LEAST_CLEAN = 0.02
 #: A line gets its posterior where an upper bound of the summed odds of all chains comes to this logarithm; a line is
 #: garbled above 0, so none below can be.
 ODDS = -2.3
@@ -252,6 +257,15 @@ def posteriors(model: Model, codes: np.ndarray, line: np.ndarray, pool_of_line:
     return lines, p / p.sum(axis=1, keepdims=True)
 
 
+def posteriors_by(models: list[Model], slot: np.ndarray, codes: np.ndarray, line: np.ndarray, pool_of_line: np.ndarray):
+    """The posteriors where each line is judged by the model of its pool's slot."""
+    if len(models) == 1:
+        return posteriors(models[0], codes, line, pool_of_line)
+    own = slot[pool_of_line[line]]
+    got = [posteriors(models[k], codes[own == k], line[own == k], pool_of_line) for k in range(len(models))]
+    return np.concatenate([g[0] for g in got]), np.concatenate([g[1] for g in got])
+
+
 def _slices(column: pa.Array, chars: int = 1 << 20):
     """Row ranges of about this many characters."""
     sizes, begin, total = pa.compute.binary_length(column).to_numpy(zero_copy_only=False), 0, 0
@@ -279,27 +293,37 @@ def _long(df: DataFrame, source: str, fields: list[str]) -> DataFrame:
 
 def fit(df: DataFrame, source: str = "source", fields: tuple[str, ...] = ("text",), rounds: int = ROUNDS) -> Model:
     """Expectation-maximization over all rows of df. Each round is one pass; what the driver gets is bounded by the
-    alphabet of the codecs squared and by POOLS x chains, whatever the corpus. Null sources share a pool."""
+    alphabet of the codecs squared (times 1 / HEAVY in the first round) and by POOLS x chains, whatever the corpus. Null
+    sources share a pool."""
     spark = df.sparkSession
     texts = _long(df, source, list(fields))
-    model: Model | None = None
+    rows = texts.groupBy("pool").count().toPandas()
+    heavy = rows["pool"][rows["count"] > HEAVY * rows["count"].sum()].to_numpy()
+    slot = np.zeros(POOLS, np.int64)
+    slot[heavy] = np.arange(len(heavy)) + 1
+    models: list[Model] = []
+    before = None
     for _ in range(rounds):
-        shared = spark.sparkContext.broadcast(model)
+        shared = spark.sparkContext.broadcast(models)
 
-        def expect(batches, shared=shared):
-            m = shared.value
-            clean, dirty, singles = {}, {}, np.zeros(N)
+        def expect(batches, shared=shared, slot=slot):
+            ms = shared.value
+            clean, dirty, singles = {}, {}, np.zeros((len(heavy) + 1) * N)
             share: dict[int, float] = {}
             for b in batches:
                 pools, column = b.column(0).to_numpy(), b.column(1)
                 for lo, hi in _slices(column):
                     cls, n_lines = classes_of(column.slice(lo, hi - lo).to_pylist())
-                    singles += np.bincount(cls, minlength=N)
                     codes, line = transitions(cls)
                     weight = np.ones(len(codes))
                     pool_of_line = np.repeat(pools[lo:hi], n_lines)
-                    if m is not None:
-                        lines, p = posteriors(m, codes, line, pool_of_line)
+                    if not ms:
+                        line_of = np.minimum(np.cumsum(cls == 4) - 1, len(pool_of_line) - 1)
+                        singles += np.bincount(slot[pool_of_line][line_of] * N + cls, minlength=len(singles))
+                        codes = slot[pool_of_line[line]] * N * N + codes
+                    else:
+                        singles[:N] += np.bincount(cls, minlength=N)
+                        lines, p = posteriors_by(ms, slot, codes, line, pool_of_line)
                         if len(lines):
                             clean_share = np.ones(len(pool_of_line))
                             clean_share[lines] = p[:, 0]
@@ -309,7 +333,7 @@ def fit(df: DataFrame, source: str = "source", fields: tuple[str, ...] = ("text"
                                     share[q] = share.get(q, 0.0) + v
                             garbled = np.zeros(N)
                             np.add.at(garbled, codes // N, 1 - weight)
-                            singles[_OTHER:] -= garbled[_OTHER:]
+                            singles[_OTHER:N] -= garbled[_OTHER:]
                     for q, v in zip(*_sums(codes, weight)):
                         clean[q] = clean.get(q, 0.0) + v
                     for q, v in zip(*np.unique(pools[lo:hi].repeat(n_lines), return_counts=True)):
@@ -322,17 +346,25 @@ def fit(df: DataFrame, source: str = "source", fields: tuple[str, ...] = ("text"
         got = texts.mapInArrow(expect, "kind int, key bigint, value double").groupBy("kind", "key").agg(F.sum("value").alias("value")).toPandas()
         kinds = {k: (g["key"].to_numpy(), g["value"].to_numpy()) for k, g in got.groupby("kind")}
         none = (np.zeros(0, np.int64), np.zeros(0))
-        codes, counts = kinds.get(0, none)
-        singles = np.zeros(N)
+        keys, values = kinds.get(0, none)
+        codes, inv = np.unique(keys % (N * N), return_inverse=True)
+        counts = np.bincount(keys // (N * N) * len(codes) + inv, values, (len(heavy) + 1) * len(codes)).reshape(len(heavy) + 1, len(codes))
+        singles = np.zeros((len(heavy) + 1) * N)
         singles[kinds.get(1, none)[0]] = np.maximum(kinds.get(1, none)[1], 0)
+        singles = singles.reshape(-1, N)
         lines = np.zeros(POOLS)
         lines[kinds.get(3, none)[0]] = kinds.get(3, none)[1]
         share = np.zeros((POOLS, len(CHAINS)))
         keys, values = kinds.get(2, none)
         share[keys // len(CHAINS), keys % len(CHAINS)] = values
-        order = np.argsort(codes)
-        model = next_model(model is None, codes[order], counts[order], singles, lines, share)
-    return model
+        # slot 0 is judged by all; a heavy pool, as long as nothing is known of it, by all others
+        alone = range(len(heavy) + 1) if not models else [0]
+        models = [next_model(not models, codes, counts.sum(axis=0) - (counts[k] if k else 0), singles.sum(axis=0) - (singles[k] if k else 0), lines, share) for k in alone]
+        now = share.sum(axis=0)
+        if before is not None and np.abs(now - before).sum() <= SETTLED * now.sum():
+            break
+        before = now
+    return models[0]
 
 
 def next_model(first: bool, codes, counts, singles, lines, share) -> Model:
@@ -343,8 +375,8 @@ def next_model(first: bool, codes, counts, singles, lines, share) -> Model:
         # a pool's shares lean on those of all pools with the weight of 200 lines
         overall = (share.sum(axis=0) + 1e-5 * lines.sum()) / max(lines.sum(), 1)
         rate = (share + 200 * overall) / (lines[:, None] + 200)
-    rate = np.clip(rate, 1e-12, 0.2)
-    prior = np.log(rate) - np.log(np.maximum(1 - rate.sum(axis=1, keepdims=True), 0.2))
+    rate = np.maximum(rate, 1e-12)
+    prior = np.log(rate) - np.log(np.maximum(1 - rate.sum(axis=1, keepdims=True), LEAST_CLEAN))
     return make_model(codes, counts, codes, singles, prior)
 
 

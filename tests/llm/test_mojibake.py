@@ -80,3 +80,24 @@ def test_skipped_lines_cannot_be_garbled(monkeypatch):
     full = dict(zip(*mb.posteriors(model, codes, line, pools)))
     assert len(some) < len(full) and all(full[x][0] > 0.9 for x in set(full) - set(some))
     assert all(np.allclose(some[x], full[x], atol=1e-5) for x in some)
+
+
+def test_a_wholly_garbled_source_of_a_third_of_the_rows(spark):
+    rng = random.Random(2)
+    for way in (("utf-8", "cp1252"), ("cp1251", "koi8-r"), ("cp1250", "cp1252")):
+        own = {"cp1250": "příliš žluťoučký kůň úpěl ďábelské ódy městě řeka".split(), "cp1251": WORDS["ru"]}.get(way[0], WORDS["fr"])
+        rows, bad = [], {}
+        for i in range(600):
+            text = "\n".join(" ".join(rng.choice(own if i % 2 or i % 3 == 0 else WORDS["en"]) for _ in range(7)) for _ in range(3))
+            if i % 3 == 0:
+                bad[i], text = text, "".join(mb._through(c, (way,)) or c for c in text)
+            rows.append((i, text, "abc"[i % 3]))
+        got = {r.doc_id: r.text for r in mb.repaired(spark.createDataFrame(rows, "doc_id bigint, text string, source string"), "doc_id").collect()}
+        assert len(set(got) & set(bad)) >= 0.97 * len(bad) and len(set(got) - set(bad)) <= 2, way
+        assert sum(got.get(i) == t for i, t in bad.items()) >= 0.95 * len(bad), way
+
+
+def test_sources_of_one_language_each_are_clean(spark):
+    rng = random.Random(4)
+    rows = [(i, " ".join(rng.choice(WORDS[("fr", "ru", "en")[i % 3]]) for _ in range(20)), "abc"[i % 3]) for i in range(600)]
+    assert mb.repaired(spark.createDataFrame(rows, "doc_id bigint, text string, source string"), "doc_id").count() == 0
