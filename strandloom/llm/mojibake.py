@@ -17,6 +17,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from strandloom.session import drop_table, materialize
+
 #: Public 8-bit codecs that texts were written in or read with; UTF-8 as written encoding goes with each of them.
 READ_AS = ["cp1252", "latin-1", "cp1250", "iso8859-2", "cp1251", "koi8-r", "cp866", "cp437", "cp850", "cp852", "mac-roman", "mac-cyrillic", "cp1253", "iso8859-7", "iso8859-5", "cp737", "iso8859-15", "cp1254", "cp1257", "iso8859-9", "koi8-u", "cp855", "mac-greek", "mac-latin2"]
 #: Families of 8-bit codecs that are mistaken for each other (same script), and those any of them is read as.
@@ -33,8 +35,11 @@ HEAVY, SETTLED = 0.1, 0.05
 #: Share of clean lines in a pool, at least.
 LEAST_CLEAN = 0.02
 #: A line gets its posterior where an upper bound of the summed odds of all chains comes to this logarithm; a line is
-#: garbled above 0, so none below can be.
-ODDS = -2.3
+#: garbled above 0, so none below can be. Of such a line, groups of chains whose bound shows them a tenth of that are
+#: left out of the sum.
+ODDS, LEAST_GROUP = -2.3, -4.6
+#: Chains of a garbled line that are tried for its repair have at least this posterior.
+LEAST_CHAIN = 1e-3
 
 #: ASCII is seen by class: lower, upper, digit, blank, line end, other.
 _ASCII_CLASSES, _OTHER = 6, 6
@@ -75,6 +80,7 @@ def _groups() -> np.ndarray:
 
 
 GROUP = _groups()
+MEMBERS = [np.flatnonzero(GROUP == g) for g in range(GROUP.max() + 1)]
 
 
 def _through(ch: str, chain) -> str | None:
@@ -147,7 +153,7 @@ _CONTROL = np.isin(np.arange(N), [_INDEX[chr(c)] for c in range(0x80, 0xA0)])
 @dataclass
 class Model:
     row: np.ndarray  # bigram code -> row of llr, -1 if it never occurred
-    llr: np.ndarray  # rows x chains: log-likelihood of the transition on the chain over that in clean text
+    llr: list[np.ndarray]  # per group, rows x its chains: log-likelihood of the transition on the chain over that in clean text
     best: np.ndarray  # rows x groups: the most that it says for any chain of the group
     prior: np.ndarray  # pools x chains: log share of the chain over that of clean lines
     group: np.ndarray  # pools x groups: logarithm of the group's summed shares over that of clean lines
@@ -210,9 +216,9 @@ def make_model(codes: np.ndarray, counts: np.ndarray, seen: np.ndarray, singles:
     llr = np.zeros((len(seen), len(CHAINS)), np.float32)
     for k in range(len(CHAINS)):
         llr[:, k] = log_p(*push(k, counts)) - base
-    groups = [np.flatnonzero(GROUP == g) for g in range(GROUP.max() + 1)]
-    best = np.stack([llr[:, g].max(axis=1) for g in groups], axis=1)
-    return Model(row, llr, best, prior, np.stack([np.logaddexp.reduce(prior[:, g], axis=1) for g in groups], axis=1))
+    by_group = [np.ascontiguousarray(llr[:, g]) for g in MEMBERS]
+    best = np.stack([x.max(axis=1) if len(x) else np.zeros(0, np.float32) for x in by_group], axis=1)
+    return Model(row, by_group, best, prior, np.stack([np.logaddexp.reduce(prior[:, g], axis=1) for g in MEMBERS], axis=1))
 
 
 _PUSHED = _pushed()
@@ -237,24 +243,29 @@ def transitions(cls: np.ndarray):
 
 def posteriors(model: Model, codes: np.ndarray, line: np.ndarray, pool_of_line: np.ndarray):
     """(lines, probabilities over [clean, chains...]) of the lines that could be garbled; all others are clean. The
-    transitions come line by line."""
+    transitions come line by line. Chains of groups that say next to nothing for a line have probability 0 there."""
     rows = model.row[codes]
     known = np.flatnonzero(rows >= 0)
     rows, own = rows[known], line[known]
-    if len(rows):
-        starts = np.flatnonzero(np.concatenate([[True], own[1:] != own[:-1]]))
-        bound = np.logaddexp.reduce(np.add.reduceat(model.best[rows], starts, axis=0) + model.group[pool_of_line[own[starts]]], axis=1)
-        pick = np.repeat(bound > ODDS, np.diff(np.append(starts, len(own))))
-        rows, own = rows[pick], own[pick]
     if not len(rows):
         return np.zeros(0, np.int64), np.zeros((0, len(CHAINS) + 1))
     starts = np.flatnonzero(np.concatenate([[True], own[1:] != own[:-1]]))
-    lines = own[starts]
-    total = np.add.reduceat(model.llr[rows], starts, axis=0).astype(float) + model.prior[pool_of_line[lines]]
-    full = np.concatenate([np.zeros((len(lines), 1)), total], axis=1)
+    n, lines = np.diff(np.append(starts, len(own))), own[starts]
+    pools = pool_of_line[lines]
+    bound = np.add.reduceat(model.best[rows], starts, axis=0) + model.group[pools]
+    pick = np.flatnonzero(np.logaddexp.reduce(bound, axis=1) > ODDS)
+    full = np.full((len(pick), len(CHAINS) + 1), -np.inf)
+    full[:, 0] = 0
+    for k, members in enumerate(MEMBERS):
+        some = np.flatnonzero(bound[pick, k] > LEAST_GROUP)
+        if len(some):
+            x = pick[some]
+            first = np.cumsum(n[x]) - n[x]
+            at = np.arange(n[x].sum()) + np.repeat(starts[x] - first, n[x])
+            full[some[:, None], 1 + members] = np.add.reduceat(model.llr[k][rows[at]], first, axis=0) + model.prior[pools[x]][:, members]
     full -= full.max(axis=1, keepdims=True)
     p = np.exp(full)
-    return lines, p / p.sum(axis=1, keepdims=True)
+    return lines[pick], p / p.sum(axis=1, keepdims=True)
 
 
 def posteriors_by(models: list[Model], slot: np.ndarray, codes: np.ndarray, line: np.ndarray, pool_of_line: np.ndarray):
@@ -291,8 +302,60 @@ def _long(df: DataFrame, source: str, fields: list[str]) -> DataFrame:
     return out
 
 
+#: One row per slice of texts: lines of each pool, transitions of its lines, and counts of single characters by slot.
+_SLICE = T.StructType([
+    T.StructField("pool", T.ArrayType(T.IntegerType())), T.StructField("size", T.ArrayType(T.IntegerType())), T.StructField("codes", T.ArrayType(T.IntegerType())),
+    T.StructField("char", T.ArrayType(T.IntegerType())), T.StructField("seen", T.ArrayType(T.LongType())),
+])
+
+
+def _transition_table(texts: DataFrame, slot: np.ndarray) -> DataFrame:
+    """The transitions of every line, written once: all that the rounds need of the texts. Lines without any stay with
+    size 0, for they count as clean lines of their pool."""
+
+    def run(batches):
+        for b in batches:
+            pools, column = b.column(0).to_numpy(), b.column(1)
+            for lo, hi in _slices(column):
+                cls, n_lines = classes_of(column.slice(lo, hi - lo).to_pylist())
+                codes, line = transitions(cls)
+                pool_of_line = np.repeat(pools[lo:hi], n_lines)
+                line_of = np.minimum(np.cumsum(cls == 4) - 1, len(pool_of_line) - 1)
+                char, seen = np.unique(slot[pool_of_line][line_of] * N + cls, return_counts=True)
+                one = lambda x, kind: pa.array([x.tolist()], pa.list_(kind))
+                size = np.bincount(line, minlength=len(pool_of_line))
+                yield pa.record_batch(
+                    [one(pool_of_line, pa.int32()), one(size, pa.int32()), one(codes, pa.int32()), one(char, pa.int32()), one(seen, pa.int64())], names=_SLICE.names
+                )
+
+    return materialize(texts.mapInArrow(run, _SLICE), "transitions")
+
+
+def _summed(table: DataFrame, of_slice) -> dict[int, tuple[np.ndarray, np.ndarray]]:
+    """{kind: (keys, values)}: of_slice gives (kind, keys, values) for each row of a transition table; values are summed."""
+
+    def run(batches):
+        for b in batches:
+            for i in range(b.num_rows):
+                pool, size, codes, char, seen = (b.column(k)[i].values.to_numpy(zero_copy_only=False) for k in range(5))
+                for kind, keys, values in of_slice(pool.astype(np.int64), np.repeat(np.arange(len(size)), size), codes.astype(np.int64), char, seen):
+                    keys, values = _sums(keys, values)
+                    yield pa.record_batch([pa.array(np.full(len(keys), kind, np.int32)), pa.array(keys.astype(np.int64)), pa.array(values.astype(np.float64))], names=["kind", "key", "value"])
+
+    got = table.mapInArrow(run, "kind int, key bigint, value double").groupBy("kind", "key").agg(F.sum("value").alias("value")).toPandas()
+    return {k: (g["key"].to_numpy(), g["value"].to_numpy()) for k, g in got.groupby("kind")}
+
+
+def _filled(got, kind: int, size: int) -> np.ndarray:
+    out = np.zeros(size)
+    if kind in got:
+        out[got[kind][0]] = got[kind][1]
+    return out
+
+
 def fit(df: DataFrame, source: str = "source", fields: tuple[str, ...] = ("text",), rounds: int = ROUNDS) -> Model:
-    """Expectation-maximization over all rows of df. Each round is one pass; what the driver gets is bounded by the
+    """Expectation-maximization over all rows of df. One pass over the texts writes the transitions of every line; each
+    round reads those and adds up what garbled lines take from the clean counts. What the driver gets is bounded by the
     alphabet of the codecs squared (times 1 / HEAVY in the first round) and by POOLS x chains, whatever the corpus. Null
     sources share a pool."""
     spark = df.sparkSession
@@ -301,69 +364,53 @@ def fit(df: DataFrame, source: str = "source", fields: tuple[str, ...] = ("text"
     heavy = rows["pool"][rows["count"] > HEAVY * rows["count"].sum()].to_numpy()
     slot = np.zeros(POOLS, np.int64)
     slot[heavy] = np.arange(len(heavy)) + 1
-    models: list[Model] = []
-    before = None
-    for _ in range(rounds):
+    table = _transition_table(texts, slot)
+
+    def count(pool, line, codes, char, seen):
+        yield 0, slot[pool[line]] * N * N + codes, np.ones(len(codes))
+        yield 1, char, seen
+        yield 2, pool, np.ones(len(pool))
+
+    got = _summed(table, count)
+    keys, values = got.get(0, (np.zeros(0, np.int64), np.zeros(0)))
+    codes, inv = np.unique(keys % (N * N), return_inverse=True)
+    counts = np.bincount(keys // (N * N) * len(codes) + inv, values, (len(heavy) + 1) * len(codes)).reshape(len(heavy) + 1, len(codes))
+    singles = _filled(got, 1, (len(heavy) + 1) * N).reshape(-1, N)
+    lines = _filled(got, 2, POOLS)
+    # slot 0 is judged by all; a heavy pool, as long as nothing is known of it, by all others
+    models = [next_model(True, codes, counts.sum(axis=0) - (counts[k] if k else 0), singles.sum(axis=0) - (singles[k] if k else 0), lines, None) for k in range(len(heavy) + 1)]
+    counts, singles, before = counts.sum(axis=0), singles.sum(axis=0), None
+    for _ in range(rounds - 1):
         shared = spark.sparkContext.broadcast(models)
 
-        def expect(batches, shared=shared, slot=slot):
-            ms = shared.value
-            clean, dirty, singles = {}, {}, np.zeros((len(heavy) + 1) * N)
-            share: dict[int, float] = {}
-            for b in batches:
-                pools, column = b.column(0).to_numpy(), b.column(1)
-                for lo, hi in _slices(column):
-                    cls, n_lines = classes_of(column.slice(lo, hi - lo).to_pylist())
-                    codes, line = transitions(cls)
-                    weight = np.ones(len(codes))
-                    pool_of_line = np.repeat(pools[lo:hi], n_lines)
-                    if not ms:
-                        line_of = np.minimum(np.cumsum(cls == 4) - 1, len(pool_of_line) - 1)
-                        singles += np.bincount(slot[pool_of_line][line_of] * N + cls, minlength=len(singles))
-                        codes = slot[pool_of_line[line]] * N * N + codes
-                    else:
-                        singles[:N] += np.bincount(cls, minlength=N)
-                        lines, p = posteriors_by(ms, slot, codes, line, pool_of_line)
-                        if len(lines):
-                            clean_share = np.ones(len(pool_of_line))
-                            clean_share[lines] = p[:, 0]
-                            weight = clean_share[line]
-                            for k in np.flatnonzero(p[:, 1:].sum(axis=0) > 1e-3):
-                                for q, v in zip(*_sums(pool_of_line[lines] * len(CHAINS) + k, p[:, 1 + k])):
-                                    share[q] = share.get(q, 0.0) + v
-                            garbled = np.zeros(N)
-                            np.add.at(garbled, codes // N, 1 - weight)
-                            singles[_OTHER:N] -= garbled[_OTHER:]
-                    for q, v in zip(*_sums(codes, weight)):
-                        clean[q] = clean.get(q, 0.0) + v
-                    for q, v in zip(*np.unique(pools[lo:hi].repeat(n_lines), return_counts=True)):
-                        dirty[q] = dirty.get(q, 0.0) + v
-            out = [(0, int(k), float(v)) for k, v in clean.items()] + [(1, int(k), float(v)) for k, v in enumerate(singles) if v]
-            out += [(2, int(k), float(v)) for k, v in share.items()] + [(3, int(k), float(v)) for k, v in dirty.items()]
-            kind, key, value = zip(*out) if out else ((), (), ())
-            yield pa.record_batch([pa.array(kind, pa.int32()), pa.array(key, pa.int64()), pa.array(value, pa.float64())], names=["kind", "key", "value"])
-
-        got = texts.mapInArrow(expect, "kind int, key bigint, value double").groupBy("kind", "key").agg(F.sum("value").alias("value")).toPandas()
-        kinds = {k: (g["key"].to_numpy(), g["value"].to_numpy()) for k, g in got.groupby("kind")}
-        none = (np.zeros(0, np.int64), np.zeros(0))
-        keys, values = kinds.get(0, none)
-        codes, inv = np.unique(keys % (N * N), return_inverse=True)
-        counts = np.bincount(keys // (N * N) * len(codes) + inv, values, (len(heavy) + 1) * len(codes)).reshape(len(heavy) + 1, len(codes))
-        singles = np.zeros((len(heavy) + 1) * N)
-        singles[kinds.get(1, none)[0]] = np.maximum(kinds.get(1, none)[1], 0)
-        singles = singles.reshape(-1, N)
-        lines = np.zeros(POOLS)
-        lines[kinds.get(3, none)[0]] = kinds.get(3, none)[1]
-        share = np.zeros((POOLS, len(CHAINS)))
-        keys, values = kinds.get(2, none)
-        share[keys // len(CHAINS), keys % len(CHAINS)] = values
-        # slot 0 is judged by all; a heavy pool, as long as nothing is known of it, by all others
-        alone = range(len(heavy) + 1) if not models else [0]
-        models = [next_model(not models, codes, counts.sum(axis=0) - (counts[k] if k else 0), singles.sum(axis=0) - (singles[k] if k else 0), lines, share) for k in alone]
+        def expect(pool, line, codes, char, seen, shared=shared):
+            at, p = posteriors_by(shared.value, slot, codes, line, pool)
+            if not len(at):
+                return
+            share, k = p[:, 1:], np.arange(len(CHAINS))
+            hit = share > 0
+            yield 3, (pool[at][:, None] * len(CHAINS) + k)[hit], share[hit]
+            garbled = np.zeros(len(pool))
+            garbled[at] = 1 - p[:, 0]
+            lost = garbled[line]
+            some = np.flatnonzero(lost)
+            yield 0, codes[some], lost[some]
+            yield 1, codes[some] // N, lost[some]
+
+        got = _summed(table, expect)
+        taken, value = got.get(0, (np.zeros(0, np.int64), np.zeros(0)))
+        clean = counts.astype(float)
+        clean[np.searchsorted(codes, taken)] -= value
+        kept = singles - _filled(got, 1, N)
+        kept[:_OTHER] = singles[:_OTHER]
+        share = _filled(got, 3, POOLS * len(CHAINS)).reshape(POOLS, len(CHAINS))
+        models = [next_model(False, codes, np.maximum(clean, 0), np.maximum(kept, 0), lines, share)]
+        shared.unpersist()
         now = share.sum(axis=0)
         if before is not None and np.abs(now - before).sum() <= SETTLED * now.sum():
             break
         before = now
+    drop_table(table)
     return models[0]
 
 
@@ -391,7 +438,7 @@ def judge(model: Model, texts: list[str], pools: np.ndarray):
     cls, n_lines = classes_of(texts)
     codes, line = transitions(cls)
     lines, p = posteriors(model, codes, line, np.repeat(pools, n_lines))
-    bad = {int(x): np.argsort(-q[1:])[:6].tolist() for x, q in zip(lines, p) if q[0] < 0.5}
+    bad = {int(x): [k for k in np.argsort(-q[1:], kind="stable").tolist() if q[1 + k] >= LEAST_CHAIN] for x, q in zip(lines, p) if q[0] < 0.5}
     lost = _INDEX["�"]
     for x in np.unique(line[(codes // N == lost) | (codes % N == lost)]).tolist():
         bad.setdefault(x, [])
