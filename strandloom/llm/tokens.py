@@ -1,34 +1,32 @@
 """Encoding of whole texts by a public byte-level BPE tokenizer (problem 7): a monoid tree reduction.
 
 A text is encoded by halves: leaves are encoded on their own, and two neighbours A, B join by encoding again only a
-window around their border. The tokenizer first cuts text into words by a pattern that never lets one match run from
-a non-blank into a blank; so every place where a blank follows a non-blank is a cut, whatever the text around it, and
-the merges never cross a cut. The window grows from the border to the last such place of A and to the first of B (by
-doubling the stretch that is searched); tokens outside it are then provably those of the whole text. A stretch
-without such a place makes the window the whole stretch. Joining is associative, so long texts are cut into segments
-that are encoded by different tasks and joined in rounds of pairs.
+window of tokens around their border. The window grows on a side until its outermost token there is the one that the
+side had before. Tokens outside are then provably those of the whole text: a list of tokens is the encoding of a word
+exactly if each two neighbours in it are (merges are local), the neighbours at the window's ends were neighbours
+before, and those inside come from an encoding. Nor do words differ: a window that doesn't begin with an apostrophe
+(which may or may not begin a contraction) nor end between a blank and a word is cut into words as the whole text is. Joining is associative, so long
+texts are cut into segments that are encoded by different tasks and joined in rounds of pairs.
 """
 
 from __future__ import annotations
 
 import base64
-import re
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from strandloom.session import materialize
+from strandloom.session import drop_table, materialize
 
 #: The place of the vocabulary files and the file used.
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 #: Fixed value: the tokenizer's word pattern, as its public description gives it.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
-#: Characters of a leaf, and of a segment that one task encodes.
-LEAF_CHARS, SEGMENT_CHARS = 1024, 1 << 19
+#: Characters of a leaf, and of a segment that one task encodes; tokens of a side that a window starts with.
+LEAF_CHARS, SEGMENT_CHARS, WINDOW = 1024, 1 << 19, 4
 
-_CUT = re.compile(r"(?<=[^\s\x1c-\x1f])(?=[ \t\n\r\f\v])")
 _CODECS: dict[str, object] = {}
 
 
@@ -43,104 +41,94 @@ def codec(vocabulary: str):
     return _CODECS[vocabulary]
 
 
-def last_cut(text: str, window: int = 64) -> int:
-    """The last place where a blank follows a non-blank, searched in a tail that doubles; 0 if there is none."""
-    while True:
-        base = max(0, len(text) - window)
-        at = [m.start() for m in _CUT.finditer(text, base)]
-        if at:
-            return at[-1]
-        if not base:
-            return 0
-        window *= 2
+def _text(codec, ids: list[int]) -> str:
+    return codec.decode_bytes(ids).decode("utf-8", "replace")
 
 
-def first_cut(text: str, window: int = 64) -> int:
-    """The first such place, searched in a head that doubles; the length if there is none."""
+def join(a: list[int], b: list[int], codec, encode=None) -> list[int]:
+    """The monoid's operation on the ids of two neighbouring texts."""
+    if not a or not b:
+        return a or b
+    encode, first = encode or codec.encode_ordinary, codec.decode_single_token_bytes
+    i, j = min(WINDOW, len(a)), min(WINDOW, len(b))
     while True:
-        m = _CUT.search(text, 0, window)
-        # the blank itself must lie in the head: the next doubling sees it otherwise
-        if m:
-            return m.start()
-        if window >= len(text):
-            return len(text)
-        window *= 2
-
-
-def join(a: tuple[str, list[int]], b: tuple[str, list[int]], encode) -> tuple[str, list[int]]:
-    """The monoid's operation on (text, ids)."""
-    if not a[0] or not b[0]:
-        return a if a[0] else b
-    p, q = last_cut(a[0]), first_cut(b[0])
-    tail, head = a[0][p:], b[0][:q]
-    left = a[1][: len(a[1]) - len(encode(tail))] if p else []
-    right = b[1][len(encode(head)) :] if q < len(b[0]) else []
-    return a[0] + b[0], left + encode(tail + head) + right
-
-
-def encode_tree(text: str, encode, leaf: int = LEAF_CHARS) -> list[int]:
-    """Ids of a text by halves."""
-    if len(text) <= leaf:
-        return encode(text)
-    parts = [text[i : i + leaf] for i in range(0, len(text), leaf)]
-    level = [(p, encode(p)) for p in parts]
+        # windows begin and end between characters, don't begin with an apostrophe and don't part a blank from a word
+        while i < len(a) and (first(a[-i])[0] & 0xC0 == 0x80 or first(a[-i])[0] == 0x27):
+            i += 1
+        while j < len(b) and (first(b[j])[0] & 0xC0 == 0x80 or (_text(codec, b[max(0, j - 4) : j])[-1:].isspace() and not _text(codec, b[j : j + 4])[:1].isspace())):
+            j += 1
+        window = encode(_text(codec, a[-i:] + b[:j]))
+        left, right = i == len(a) or window[0] == a[-i], j == len(b) or window[-1] == b[j - 1]
+        if left and right:
+            return a[: len(a) - i] + window + b[j:]
+        i, j = i if left else min(2 * i, len(a)), j if right else min(2 * j, len(b))
+
+
+def joined(level: list[list[int]], codec, encode=None) -> list[int]:
+    """The ids of a text from those of its parts, joined in rounds of pairs."""
     while len(level) > 1:
-        level = [join(level[i], level[i + 1], encode) if i + 1 < len(level) else level[i] for i in range(0, len(level), 2)]
-    return level[0][1]
+        level = [join(level[k], level[k + 1], codec, encode) if k + 1 < len(level) else level[k] for k in range(0, len(level), 2)]
+    return level[0]
+
+
+def encode_tree(text: str, codec, leaf: int = LEAF_CHARS, encode=None) -> list[int]:
+    """Ids of a text by halves."""
+    encode = encode or codec.encode_ordinary
+    return joined([encode(text[k : k + leaf]) for k in range(0, max(len(text), 1), leaf)], codec, encode)
 
 
 def encode_texts(df: DataFrame, id_col: str, text: str, vocabulary: str = VOCABULARY, leaf: int = LEAF_CHARS, segment: int = SEGMENT_CHARS) -> DataFrame:
     """(id_col, ids): the token ids of every row's text, without special tokens.
 
     Null and empty texts give an empty list; strings that look like special tokens are ordinary text; repeated rows
-    give repeated results (id_col must be unique if any text is longer than ``segment`` characters). Other columns are
-    not read. Texts up to ``segment`` characters take one narrow pass; longer ones are cut into segments, encoded by
-    as many tasks, and joined in log2(segments) rounds of pairs.
+    and repeated or null ids give a result for each row. Other columns are not read. Texts up to ``segment`` characters
+    take one narrow pass. Longer ones are numbered, cut into segments, encoded by as many tasks, and joined in
+    log2(segments) rounds of pairs that carry ids only.
     """
     kind = df.schema[id_col].dataType
     rows = df.select(F.col(id_col).alias("id"), F.col(text).alias("text"))
     longest = rows.agg(F.max(F.length("text"))).first()[0] or 0
+    listed = pa.list_(pa.int32())
     out = T.StructType([T.StructField("id", kind), T.StructField("ids", T.ArrayType(T.IntegerType()))])
 
     def run(batches):
-        encode = codec(vocabulary).encode_ordinary
+        c = codec(vocabulary)
         for b in batches:
-            ids = [encode_tree(t, encode, leaf) if t else [] for t in b.column(1).to_pylist()]
-            yield pa.record_batch([b.column(0), pa.array(ids, pa.list_(pa.int32()))], names=["id", "ids"])
+            ids = [encode_tree(t, c, leaf) if t else [] for t in b.column(1).to_pylist()]
+            yield pa.record_batch([b.column(0), pa.array(ids, listed)], names=["id", "ids"])
 
     if longest <= segment:
         return rows.mapInArrow(run, out).withColumnRenamed("id", id_col)
     short = rows.filter(f"text is null or length(text) <= {segment}").mapInArrow(run, out)
-    long = rows.filter(f"length(text) > {segment}")
-    pieces = long.select("id", F.explode(F.sequence(F.lit(0), F.floor((F.length("text") - 1) / segment))).alias("no"), "text").select(
-        "id", "no", F.expr(f"substring(text, int(no * {segment} + 1), {segment})").alias("text")
-    )
-    level = pieces.repartition(F.col("id"), F.col("no"))
-    state = T.StructType([T.StructField("id", kind), T.StructField("no", T.LongType()), T.StructField("text", T.StringType()), T.StructField("ids", T.ArrayType(T.IntegerType()))])
+    long = materialize(rows.filter(f"length(text) > {segment}").withColumn("row", F.monotonically_increasing_id()), "texts")
 
-    def leaves(batches):
-        encode = codec(vocabulary).encode_ordinary
+    def cut(batches):
         for b in batches:
-            ids = [encode_tree(t, encode, leaf) for t in b.column(2).to_pylist()]
-            yield pa.record_batch([*b.columns, pa.array(ids, pa.list_(pa.int32()))], names=["id", "no", "text", "ids"])
+            for row, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+                for no in range(0, -(-len(t) // segment)):
+                    yield pa.record_batch([pa.array([row]), pa.array([no]), pa.array([t[no * segment : (no + 1) * segment]])], names=["row", "no", "text"])
 
-    level = materialize(level.mapInArrow(leaves, state), "tokens")
+    def leaves(batches):
+        c = codec(vocabulary)
+        for b in batches:
+            yield pa.record_batch([b.column(0), b.column(1), pa.array([encode_tree(t, c, leaf) for t in b.column(2).to_pylist()], listed)], names=["row", "no", "ids"])
 
-    def joined(batches):
-        encode = codec(vocabulary).encode_ordinary
+    def pairs(batches):
+        c = codec(vocabulary)
         for b in batches:
-            got = []
-            for t, i, t2, i2 in zip(*(b.column(k).to_pylist() for k in (2, 3, 4, 5))):
-                got.append((t, i) if t2 is None else join((t, i), (t2, i2), encode))
-            yield pa.record_batch([b.column(0), b.column(1), pa.array([g[0] for g in got], pa.string()), pa.array([g[1] for g in got], pa.list_(pa.int32()))], names=["id", "no", "text", "ids"])
+            got = [x if y is None else join(x, y, c) for x, y in zip(b.column(2).to_pylist(), b.column(3).to_pylist())]
+            yield pa.record_batch([b.column(0), b.column(1), pa.array(got, listed)], names=["row", "no", "ids"])
 
-    n = -(-longest // segment)
+    state = "row bigint, no bigint, ids array<int>"
+    pieces = long.select("row", "text").mapInArrow(cut, "row bigint, no bigint, text string").repartition("row", "no")
+    level, n = materialize(pieces.mapInArrow(leaves, state), "tokens"), -(-longest // segment)
     while n > 1:
         even = level.filter("no % 2 = 0").withColumn("no", F.expr("no div 2"))
-        odd = level.filter("no % 2 = 1").select("id", F.expr("no div 2").alias("no"), F.col("text").alias("text2"), F.col("ids").alias("ids2"))
-        level = materialize(even.join(odd, ["id", "no"], "left").select("id", "no", "text", "ids", "text2", "ids2").mapInArrow(joined, state), "tokens")
-        n = -(-n // 2)
-    return short.unionByName(level.select("id", "ids")).withColumnRenamed("id", id_col)
+        odd = level.filter("no % 2 = 1").select("row", F.expr("no div 2").alias("no"), F.col("ids").alias("next"))
+        after = materialize(even.join(odd, ["row", "no"], "left").select("row", "no", "ids", "next").mapInArrow(pairs, state), "tokens")
+        drop_table(level)
+        level, n = after, -(-n // 2)
+    return short.unionByName(long.select("row", "id").join(level, "row").select("id", "ids")).withColumnRenamed("id", id_col)
 
 
 def decode_texts(df: DataFrame, id_col: str, ids: str = "ids", vocabulary: str = VOCABULARY) -> DataFrame:
