@@ -91,6 +91,14 @@ def run_states(raw, first, last, separators=";,|", brackets="") -> np.ndarray:
     return out
 
 
+def broken_quoting(raw, first, last, separators=";,|") -> np.ndarray:
+    """Per row: a quote isn't closed, or something other than blanks stands between a closing quote and a separator."""
+    states = run_states(raw, first, last, separators)
+    ends = np.where(last > first, states[np.maximum(last - 1, 0)], START) if len(raw) else np.zeros(len(first), np.uint8)
+    junk = np.concatenate([[0], np.cumsum(states == JUNK)])
+    return UNCLOSED[ends] | (junk[last] > junk[first])
+
+
 def _unquote(text: bytes, closed: bool) -> bytes:
     """Content of a value that starts with a quote: outer quotes off, the escaped quote (doubled or after \\) undone."""
     q = text[:1]
