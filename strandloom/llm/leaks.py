@@ -111,11 +111,12 @@ def embed(letters: np.ndarray, start: np.ndarray, rep: int, visit) -> None:
                 ptr, h, who = ptr[on], h[on], who[on]
 
 
-_SIEVE = 1 << 22
+#: Bits of the sieve at each length: walks that no item's window shares so far need not go on.
+_SIEVES = (1 << 16, 1 << 22, 1 << 22, 1)
 
 
-def _bit(h: np.ndarray) -> np.ndarray:
-    return (h >> np.uint64(20)).astype(np.int64) & (_SIEVE - 1)
+def _bit(h: np.ndarray, k: int) -> np.ndarray:
+    return (h >> np.uint64(20)).astype(np.int64) & (_SIEVES[k] - 1)
 
 
 @dataclass
@@ -133,7 +134,7 @@ class Index:
     items: list[Item]
     keys: list  # per repetition and length: sorted hashes of the windows of that length
     owner: list  # item number of each hash
-    sieves: list  # per repetition and length: packed bits of the hashes there of all longer windows, None without any
+    sieves: list  # per repetition and length: packed bits of the hashes there of all longer windows, None at the last
     tiny: list[int]  # items without room for any walk
 
 
@@ -188,9 +189,9 @@ def make_index(rows: list[tuple[object, str]]) -> Index:
             keys.append(h[order])
             owners.append(owner[order])
             longer = h[last > k]
-            bits = np.zeros(_SIEVE, bool)
-            bits[_bit(longer)] = True
-            sieves.append(np.packbits(bits) if len(longer) and k else None)
+            bits = np.zeros(_SIEVES[k], bool)
+            bits[_bit(longer, k)] = True
+            sieves.append(np.packbits(bits) if k < len(LENGTHS) - 1 else None)
         index.keys.append(keys)
         index.owner.append(owners)
         index.sieves.append(sieves)
@@ -213,7 +214,7 @@ def candidates(index: Index, sieves, letters: np.ndarray, start: np.ndarray):
                 n = hi - lo
                 got_s.append(np.repeat(who, n))
                 got_i.append(index.owner[rep][k][np.repeat(lo, n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)])
-            return None if sieves[rep][k] is None else np.flatnonzero(sieves[rep][k][_bit(h)])
+            return None if sieves[rep][k] is None else np.flatnonzero(sieves[rep][k][_bit(h, k)])
 
         embed(letters, start, rep, visit)
     none = np.zeros(0, np.int64)

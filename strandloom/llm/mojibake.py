@@ -36,8 +36,9 @@ HEAVY, SETTLED = 0.1, 0.05
 LEAST_CLEAN = 0.02
 #: A line gets its posterior where an upper bound of the summed odds of all chains comes to this logarithm; a line is
 #: garbled above 0, so none below can be. Of such a line, groups of chains whose bound shows them a tenth of that are
-#: left out of the sum.
-ODDS, LEAST_GROUP = -2.3, -4.6
+#: left out of the sum, and chains of odds under a thousandth,
+#: or under a millionth of the line's most probable one.
+ODDS, LEAST_GROUP, LEAST_ENTRY, LEAST_SHARE = -2.3, -4.6, -6.9, 1e-6
 #: Chains of a garbled line that are tried for its repair have at least this posterior.
 LEAST_CHAIN = 1e-3
 
@@ -72,15 +73,19 @@ def _chains() -> list[tuple[tuple[str, str], ...]]:
 CHAINS = _chains()
 
 
-def _groups() -> np.ndarray:
-    """Group of each chain: by what was read as what, so that chains of a group say much the same of a transition."""
+def _groups() -> tuple[np.ndarray, np.ndarray]:
+    """Group of each chain by what was read as what, so that chains of a group say much the same of a transition, and
+    part of the group by the last codec and the kind of the first."""
     script = {r: i for i, f in enumerate([[*FAMILIES[0], "latin-1", "cp1254", "iso8859-9"], *FAMILIES[1:]]) for r in f} | {"koi8-u": 2, "cp1257": 1}
     kinds = [(len(c) > 1, c[0][0] == "utf-8" or script[c[0][0]], script[c[-1][1]]) for c in CHAINS]
-    return np.array([sorted(set(kinds)).index(k) for k in kinds])
+    parts = [(*k, c[-1][1]) for k, c in zip(kinds, CHAINS)]
+    return tuple(np.array([sorted(set(x)).index(k) for k in x]) for x in (kinds, parts))
 
 
-GROUP = _groups()
-MEMBERS = [np.flatnonzero(GROUP == g) for g in range(GROUP.max() + 1)]
+GROUP, PART = _groups()
+#: Parts of each group, and chains of each part.
+PARTS = [np.unique(PART[GROUP == g]) for g in range(GROUP.max() + 1)]
+MEMBERS = [np.flatnonzero(PART == g) for g in range(PART.max() + 1)]
 
 
 def _through(ch: str, chain) -> str | None:
@@ -153,10 +158,12 @@ _CONTROL = np.isin(np.arange(N), [_INDEX[chr(c)] for c in range(0x80, 0xA0)])
 @dataclass
 class Model:
     row: np.ndarray  # bigram code -> row of llr, -1 if it never occurred
-    llr: list[np.ndarray]  # per group, rows x its chains: log-likelihood of the transition on the chain over that in clean text
-    best: np.ndarray  # rows x groups: the most that it says for any chain of the group
+    llr: list[np.ndarray]  # per part, rows x its chains: log-likelihood of the transition on the chain over that in clean text
+    best: list[np.ndarray]  # per group, rows x its parts: the most that it says for any chain of the part
+    most: np.ndarray  # rows x groups: the most that it says for any chain of the group
     prior: np.ndarray  # pools x chains: log share of the chain over that of clean lines
-    group: np.ndarray  # pools x groups: logarithm of the group's summed shares over that of clean lines
+    part: np.ndarray  # pools x parts: logarithm of the part's summed shares over that of clean lines
+    group: np.ndarray  # pools x groups: the same of the group
 
 
 def _pushed():
@@ -216,9 +223,12 @@ def make_model(codes: np.ndarray, counts: np.ndarray, seen: np.ndarray, singles:
     llr = np.zeros((len(seen), len(CHAINS)), np.float32)
     for k in range(len(CHAINS)):
         llr[:, k] = log_p(*push(k, counts)) - base
-    by_group = [np.ascontiguousarray(llr[:, g]) for g in MEMBERS]
-    best = np.stack([x.max(axis=1) if len(x) else np.zeros(0, np.float32) for x in by_group], axis=1)
-    return Model(row, by_group, best, prior, np.stack([np.logaddexp.reduce(prior[:, g], axis=1) for g in MEMBERS], axis=1))
+    llr = [np.ascontiguousarray(llr[:, m]) for m in MEMBERS]
+    top = np.stack([x.max(axis=1) for x in llr], axis=1) if len(seen) else np.zeros((0, len(MEMBERS)), np.float32)
+    best = [np.ascontiguousarray(top[:, g]) for g in PARTS]
+    summed = lambda x, sets: np.stack([np.logaddexp.reduce(x[:, m], axis=1) for m in sets], axis=1)
+    part = summed(prior, MEMBERS)
+    return Model(row, llr, best, np.stack([top[:, g].max(axis=1) for g in PARTS], axis=1), prior, part, summed(part, PARTS))
 
 
 _PUSHED = _pushed()
@@ -241,31 +251,49 @@ def transitions(cls: np.ndarray):
     return cls[at].astype(np.int64) * N + cls[at + 1], line
 
 
+def _added(values: np.ndarray, rows: np.ndarray, starts: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """Per stretch of rows (start, number): the sum of their values."""
+    first = np.cumsum(n) - n
+    return np.add.reduceat(values[rows[np.arange(n.sum()) + np.repeat(starts - first, n)]], first, axis=0)
+
+
 def posteriors(model: Model, codes: np.ndarray, line: np.ndarray, pool_of_line: np.ndarray):
-    """(lines, probabilities over [clean, chains...]) of the lines that could be garbled; all others are clean. The
-    transitions come line by line. Chains of groups that say next to nothing for a line have probability 0 there."""
+    """(lines, probability of clean, (number in lines, chain, probability)) of the lines that could be garbled; all others
+    are clean. The transitions come line by line. Chains that say next to nothing for a line, by the bounds of their
+    group and part, have no entry there."""
+    none = np.zeros(0, np.int64)
     rows = model.row[codes]
     known = np.flatnonzero(rows >= 0)
     rows, own = rows[known], line[known]
     if not len(rows):
-        return np.zeros(0, np.int64), np.zeros((0, len(CHAINS) + 1))
+        return none, np.zeros(0), (none, none, np.zeros(0))
     starts = np.flatnonzero(np.concatenate([[True], own[1:] != own[:-1]]))
     n, lines = np.diff(np.append(starts, len(own))), own[starts]
     pools = pool_of_line[lines]
-    bound = np.add.reduceat(model.best[rows], starts, axis=0) + model.group[pools]
+    bound = np.add.reduceat(model.most[rows], starts, axis=0) + model.group[pools]
     pick = np.flatnonzero(np.logaddexp.reduce(bound, axis=1) > ODDS)
-    full = np.full((len(pick), len(CHAINS) + 1), -np.inf)
-    full[:, 0] = 0
-    for k, members in enumerate(MEMBERS):
-        some = np.flatnonzero(bound[pick, k] > LEAST_GROUP)
-        if len(some):
-            x = pick[some]
-            first = np.cumsum(n[x]) - n[x]
-            at = np.arange(n[x].sum()) + np.repeat(starts[x] - first, n[x])
-            full[some[:, None], 1 + members] = np.add.reduceat(model.llr[k][rows[at]], first, axis=0) + model.prior[pools[x]][:, members]
-    full -= full.max(axis=1, keepdims=True)
-    p = np.exp(full)
-    return lines[pick], p / p.sum(axis=1, keepdims=True)
+    at, chain, odds = [none], [none], [np.zeros(0)]
+    for g, parts in enumerate(PARTS):
+        x = pick[bound[pick, g] > LEAST_GROUP]
+        if not len(x):
+            continue
+        fine = _added(model.best[g], rows, starts[x], n[x]) + model.part[pools[x]][:, parts]
+        for k, part in enumerate(parts):
+            y = x[fine[:, k] > LEAST_GROUP]
+            if len(y):
+                score = _added(model.llr[part], rows, starts[y], n[y]) + model.prior[pools[y]][:, MEMBERS[part]]
+                i, c = np.nonzero(score > LEAST_ENTRY)
+                at.append(y[i])
+                chain.append(MEMBERS[part][c])
+                odds.append(score[i, c])
+    at, chain, odds = np.concatenate(at), np.concatenate(chain), np.concatenate(odds)
+    hit, number = np.unique(at, return_inverse=True)
+    top = np.zeros(len(hit))  # logarithm of the odds of clean
+    np.maximum.at(top, number, odds)
+    p, clean = np.exp(odds - top[number]), np.exp(-top)
+    whole = clean + np.bincount(number, p, len(hit))
+    p, keep = p / whole[number], p > LEAST_SHARE
+    return lines[hit], clean / whole, (number[keep], chain[keep], p[keep])
 
 
 def posteriors_by(models: list[Model], slot: np.ndarray, codes: np.ndarray, line: np.ndarray, pool_of_line: np.ndarray):
@@ -274,7 +302,9 @@ def posteriors_by(models: list[Model], slot: np.ndarray, codes: np.ndarray, line
         return posteriors(models[0], codes, line, pool_of_line)
     own = slot[pool_of_line[line]]
     got = [posteriors(models[k], codes[own == k], line[own == k], pool_of_line) for k in range(len(models))]
-    return np.concatenate([g[0] for g in got]), np.concatenate([g[1] for g in got])
+    before = np.cumsum([0, *(len(g[0]) for g in got)])
+    entries = [np.concatenate([g[2][x] + (before[k] if x == 0 else 0) for k, g in enumerate(got)]) for x in range(3)]
+    return np.concatenate([g[0] for g in got]), np.concatenate([g[1] for g in got]), tuple(entries)
 
 
 def _slices(column: pa.Array, chars: int = 1 << 20):
@@ -384,14 +414,12 @@ def fit(df: DataFrame, source: str = "source", fields: tuple[str, ...] = ("text"
         shared = spark.sparkContext.broadcast(models)
 
         def expect(pool, line, codes, char, seen, shared=shared):
-            at, p = posteriors_by(shared.value, slot, codes, line, pool)
+            at, clean, (number, chain, p) = posteriors_by(shared.value, slot, codes, line, pool)
             if not len(at):
                 return
-            share, k = p[:, 1:], np.arange(len(CHAINS))
-            hit = share > 0
-            yield 3, (pool[at][:, None] * len(CHAINS) + k)[hit], share[hit]
+            yield 3, pool[at[number]] * len(CHAINS) + chain, p
             garbled = np.zeros(len(pool))
-            garbled[at] = 1 - p[:, 0]
+            garbled[at] = 1 - clean
             lost = garbled[line]
             some = np.flatnonzero(lost)
             yield 0, codes[some], lost[some]
@@ -437,8 +465,12 @@ def judge(model: Model, texts: list[str], pools: np.ndarray):
     line only has lost characters."""
     cls, n_lines = classes_of(texts)
     codes, line = transitions(cls)
-    lines, p = posteriors(model, codes, line, np.repeat(pools, n_lines))
-    bad = {int(x): [k for k in np.argsort(-q[1:], kind="stable").tolist() if q[1 + k] >= LEAST_CHAIN] for x, q in zip(lines, p) if q[0] < 0.5}
+    lines, clean, (number, chain, p) = posteriors(model, codes, line, np.repeat(pools, n_lines))
+    bad: dict[int, list[int]] = {int(x): [] for x in lines[clean < 0.5]}
+    for i in np.lexsort((chain, -p)).tolist():
+        x = int(lines[number[i]])
+        if x in bad and p[i] >= LEAST_CHAIN:
+            bad[x].append(int(chain[i]))
     lost = _INDEX["�"]
     for x in np.unique(line[(codes // N == lost) | (codes % N == lost)]).tolist():
         bad.setdefault(x, [])

@@ -6,6 +6,8 @@ components; a subset-sum bitset over the component sizes and their multiplicitie
 
 from __future__ import annotations
 
+from itertools import permutations
+
 import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
@@ -17,6 +19,8 @@ from strandloom.session import materialize
 
 #: Width of a coordinate bin: no window sees more than 2**BIN_BITS rows.
 BIN_BITS = 14
+#: Bits of the driver's table of reachable totals at most, and steps of the table of pairs of totals (cells x groups).
+MOST_BITS, MOST_PAIRS = 1 << 26, 1 << 32
 
 
 def forward_intervals(chunks: DataFrame, sequences: DataFrame) -> DataFrame:
@@ -27,7 +31,7 @@ def forward_intervals(chunks: DataFrame, sequences: DataFrame) -> DataFrame:
     """
     lengths = sequences.groupBy("species", "chrom").agg(F.max("length").alias("__len"))
     c = chunks.select("chunk_id", "species", "chrom", F.col("begin").alias("b"), F.col("end").alias("e"), "strand")
-    c = c.join(lengths, ["species", "chrom"], "left")  # small by table statistics: broadcast; beyond that AQE splits hot keys
+    c = skew_join(c, lengths, ["species", "chrom"], "left")
     back = F.coalesce(F.col("strand") == "backward", F.lit(False))
     fb, fe = F.when(back, F.col("__len") - F.col("e")).otherwise(F.col("b")), F.when(back, F.col("__len") - F.col("b")).otherwise(F.col("e"))
     known = F.col("species").isNotNull() & F.col("chrom").isNotNull() & (fb < fe)
@@ -74,21 +78,33 @@ def related_groups(chunks: DataFrame, sequences: DataFrame) -> DataFrame:
 
 
 def choose(sizes: dict[int, int], target: int) -> dict[int, int]:
-    """How many groups of each size to take so that their total comes as close to target as it can.
+    """How many groups of each size to take so that their total comes as close to target as it can (ties: below it).
 
-    A share of each size class is taken outright; a bitset of reachable totals over the remaining classes, by binary
-    parts of their multiplicities, finds the rest.
+    A bitset of reachable totals over the size classes, each by binary parts of its multiplicity. Nothing beyond twice
+    the target can be closer than nothing at all, so the bitset has 2 * target + 1 bits. If groups taken from the
+    largest down meet the target that is optimal at once; if the bitset would pass MOST_BITS, groups are taken in that
+    way until it fits, and the total is the closest that goes with those (off by less than the smallest size left).
     """
-    total = sum(s * m for s, m in sizes.items())
-    if target <= 0 or not total:
-        return {}
-    take = {s: int(m * min(1.0, target / total)) for s, m in sizes.items()}
-    take = {s: max(0, k - 1) for s, k in take.items()}
-    rest = target - sum(s * k for s, k in take.items())
-    limit = 2 * rest + 1
+    take: dict[int, int] = {}
+    rest = target
+    for s in sorted(sizes, reverse=True):
+        k = min(sizes[s], rest // s)
+        take, rest = take | {s: k}, rest - s * k
+    if rest <= 0:
+        return {s: k for s, k in take.items() if k} if target > 0 else {}
+    take, rest = {}, target
+    for s in sorted(sizes, reverse=True):
+        if 2 * rest + 1 <= MOST_BITS:
+            break
+        # as many as are needed until the rest fits, as far as there are
+        k = min(sizes[s], rest // s, -(-(rest - (MOST_BITS - 1) // 2) // s))
+        take, rest = take | {s: k}, rest - s * k
+    limit = 2 * rest
+    if limit + 1 > MOST_BITS:
+        return {s: k for s, k in take.items() if k}
     parts = []
     for s in sorted(sizes, reverse=True):
-        left, k = min(sizes[s] - take[s], limit // s), 1
+        left, k = min(sizes[s] - take.get(s, 0), limit // s), 1
         while left > 0:
             k = min(k, left)
             parts.append((s, k))
@@ -98,33 +114,77 @@ def choose(sizes: dict[int, int], target: int) -> dict[int, int]:
     for i, (s, k) in enumerate(parts):
         new = (bits << (s * k)) & mask & ~bits
         if new:
-            at = np.flatnonzero(np.unpackbits(np.frombuffer(new.to_bytes(limit // 8 + 1, "little"), np.uint8), bitorder="little")[: limit + 1])
-            by[at] = i
+            by[np.flatnonzero(np.unpackbits(np.frombuffer(new.to_bytes(limit // 8 + 1, "little"), np.uint8), bitorder="little")[: limit + 1])] = i
             bits |= new
         if by[rest] >= 0:
             break
-    reach = np.flatnonzero(by >= 0)
-    best = min([0, *reach.tolist()], key=lambda t: abs(t - rest)) if len(reach) < 1 << 16 or by[rest] < 0 else rest
+    reach = np.concatenate([[0], np.flatnonzero(by >= 0)])
+    best = int(reach[np.argmin(np.abs(reach - rest))])
     while best > 0:
         s, k = parts[by[best]]
-        take[s] += k
+        take[s] = take.get(s, 0) + k
         best -= s * k
     return {s: k for s, k in take.items() if k}
 
 
+def choose_two(sizes: dict[int, int], first: int, second: int) -> tuple[dict[int, int], dict[int, int]] | None:
+    """Disjoint groups for two targets with the least sum of both distances, by a table of reachable pairs of totals; None
+    if that would take more than MOST_PAIRS steps."""
+    rows, cols = 2 * first + 1, 2 * second + 1
+    parts = [s for s in sorted(sizes, reverse=True) for _ in range(min(sizes[s], (rows - 1) // s + (cols - 1) // s))]
+    if rows * cols * max(len(parts), 1) > MOST_PAIRS:
+        return None
+    by = np.full((rows, cols), -1, np.int32)
+    by[0, 0] = 2 * len(parts)
+    for i, s in enumerate(parts):
+        old = by >= 0
+        for side, (new, seen) in enumerate(((by[s:], old[: rows - s]), (by[:, s:], old[:, : cols - s]))):
+            if new.size:
+                new[seen & (new < 0)] = 2 * i + side
+        if by[first, second] >= 0:
+            break
+    v, t = np.nonzero(by >= 0)
+    k = np.argmin(np.abs(v - first) + np.abs(t - second))
+    at, got = [int(v[k]), int(t[k])], ({}, {})
+    while by[at[0], at[1]] < 2 * len(parts):
+        i, side = divmod(int(by[at[0], at[1]]), 2)
+        got[side][parts[i]] = got[side].get(parts[i], 0) + 1
+        at[side] -= parts[i]
+    return got
+
+
+def choose_all(sizes: dict[int, int], targets: list[int]) -> list[dict[int, int]]:
+    """Disjoint groups for each target, the sum of all distances as small as it gets.
+
+    One target after the other, in each order, is optimal where every target is met. Elsewhere two targets are chosen
+    together; where that table is too large, and for more targets, the best order stands.
+    """
+    best, off = [{} for _ in targets], None
+    for order in permutations(range(len(targets))) if len(targets) < 4 else [range(len(targets))]:
+        left, got = dict(sizes), [{} for _ in targets]
+        for i in order:
+            got[i] = choose({s: m for s, m in left.items() if m}, targets[i])
+            for s, k in got[i].items():
+                left[s] -= k
+        away = sum(abs(sum(s * k for s, k in g.items()) - t) for g, t in zip(got, targets))
+        if off is None or away < off:
+            best, off = got, away
+        if not off:
+            return best
+    both = choose_two(sizes, *targets) if len(targets) == 2 else None
+    return list(both) if both else best
+
+
 def assign_splits(groups: DataFrame, shares: dict[str, float], rest: str = "train", buckets: int = 1024) -> DataFrame:
     """(root, split) for groups (root BIGINT unique, size BIGINT): no group is divided, totals as near the shares as
     whole groups allow. Groups of one size are dealt in order of a hash, so equal inputs give equal splits.
 
-    The driver sees the number of groups of each size only (at most sqrt(2 * rows) numbers).
+    The driver sees the number of groups of each size only (at most sqrt(2 * rows) numbers), and its tables are bounded
+    by MOST_BITS and MOST_PAIRS.
     """
     counts = {int(r[0]): int(r[1]) for r in groups.groupBy("size").agg(F.count("*")).collect()}
-    total, left, plan = sum(s * m for s, m in counts.items()), dict(counts), {}
-    for name, share in shares.items():
-        got = choose(left, round(total * share))
-        plan[name] = got
-        for s, k in got.items():
-            left[s] -= k
+    total = sum(s * m for s, m in counts.items())
+    plan = dict(zip(shares, choose_all(counts, [round(total * share) for share in shares.values()])))
     spark = groups.sparkSession
     limits = [(s, *[sum(plan[n].get(s, 0) for n in list(shares)[: i + 1]) for i in range(len(shares))]) for s in counts]
     quota = spark.createDataFrame(limits, "size bigint, " + ", ".join(f"__q{i} bigint" for i in range(len(shares))))

@@ -45,6 +45,11 @@ def _text(codec, ids: list[int]) -> str:
     return codec.decode_bytes(ids).decode("utf-8", "replace")
 
 
+def _blank(ch: str) -> bool:
+    """A blank to the word pattern: the four separators of ASCII are none there."""
+    return ch.isspace() and not "\x1c" <= ch <= "\x1f"
+
+
 def join(a: list[int], b: list[int], codec, encode=None) -> list[int]:
     """The monoid's operation on the ids of two neighbouring texts."""
     if not a or not b:
@@ -55,7 +60,7 @@ def join(a: list[int], b: list[int], codec, encode=None) -> list[int]:
         # windows begin and end between characters, don't begin with an apostrophe and don't part a blank from a word
         while i < len(a) and (first(a[-i])[0] & 0xC0 == 0x80 or first(a[-i])[0] == 0x27):
             i += 1
-        while j < len(b) and (first(b[j])[0] & 0xC0 == 0x80 or (_text(codec, b[max(0, j - 4) : j])[-1:].isspace() and not _text(codec, b[j : j + 4])[:1].isspace())):
+        while j < len(b) and (first(b[j])[0] & 0xC0 == 0x80 or (_blank(_text(codec, b[max(0, j - 4) : j])[-1:]) and not _blank(_text(codec, b[j : j + 4])[:1]))):
             j += 1
         window = encode(_text(codec, a[-i:] + b[:j]))
         left, right = i == len(a) or window[0] == a[-i], j == len(b) or window[-1] == b[j - 1]

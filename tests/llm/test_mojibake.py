@@ -75,11 +75,18 @@ def test_skipped_lines_cannot_be_garbled(monkeypatch):
     seen, counts = np.unique(codes, return_counts=True)
     pools = np.zeros(n_lines.sum(), np.int64)
     model = mb.next_model(True, seen, counts.astype(float), np.bincount(cls, minlength=mb.N).astype(float), np.ones(mb.POOLS), None)
-    some = dict(zip(*mb.posteriors(model, codes, line, pools)))
-    monkeypatch.setattr(mb, "ODDS", -1e9)
-    full = dict(zip(*mb.posteriors(model, codes, line, pools)))
-    assert len(some) < len(full) and all(full[x][0] > 0.9 for x in set(full) - set(some))
-    assert all(np.allclose(some[x], full[x], atol=1e-5) for x in some)
+
+    def judged():
+        lines, clean, (number, chain, p) = mb.posteriors(model, codes, line, pools)
+        assert np.allclose(clean + np.bincount(number, p, len(lines)), 1, atol=1e-3)
+        return dict(zip(lines.tolist(), clean)), {(int(lines[k]), int(c)): q for k, c, q in zip(number, chain, p)}
+
+    some, chains = judged()
+    for name in ("ODDS", "LEAST_GROUP", "LEAST_ENTRY"):
+        monkeypatch.setattr(mb, name, -1e9)
+    full, every = judged()
+    assert len(some) < len(full) and all(full[x] > 0.9 for x in set(full) - set(some))
+    assert all(abs(some[x] - full[x]) < 0.02 for x in some) and all(abs(q - every[x]) < 0.02 for x, q in chains.items())
 
 
 def test_a_wholly_garbled_source_of_a_third_of_the_rows(spark):

@@ -2,7 +2,8 @@ from __future__ import annotations
 
 import random
 
-from strandloom.llm.splits import assign_splits, choose, related_groups, split_chunks
+from strandloom.llm import splits
+from strandloom.llm.splits import assign_splits, choose, choose_all, related_groups, split_chunks
 from strandloom.operators.components import components
 
 
@@ -79,21 +80,49 @@ def test_empty_tables(spark):
     assert related_groups(c, s).collect() == [] and split_chunks(c, s).collect() == []
 
 
+def subset_sums(sizes):
+    reach = {0}
+    for s, m in sizes.items():
+        reach = {r + s * k for r in reach for k in range(m + 1)}
+    return reach
+
+
 def test_choose_is_as_close_as_any_subset():
     rng = random.Random(2)
-    for _ in range(60):
-        sizes = {rng.randint(1, 30): rng.randint(1, 4) for _ in range(rng.randint(1, 5))}
-        target = rng.randint(0, sum(s * m for s, m in sizes.items()))
-        reach = {0}
-        for s, m in sizes.items():
-            reach = {r + s * k for r in reach for k in range(m + 1)}
+    cases = [({25: 5, 23: 4, 9: 10}, 92)]
+    for _ in range(1500):
+        sizes = {rng.randint(1, 30): rng.randint(1, 10) for _ in range(rng.randint(1, 5))}
+        cases.append((sizes, rng.randint(0, sum(s * m for s, m in sizes.items()))))
+    for sizes, target in cases:
         got = choose(sizes, target)
         assert all(got[s] <= sizes[s] for s in got)
-        base = {s: max(0, int(m * target / sum(a * b for a, b in sizes.items())) - 1) for s, m in sizes.items()}
-        reach = {sum(s * k for s, k in base.items())}
+        assert abs(sum(s * k for s, k in got.items()) - target) == min(abs(r - target) for r in subset_sums(sizes)), (sizes, target)
+
+
+def test_choose_with_a_small_table(monkeypatch):
+    monkeypatch.setattr(splits, "MOST_BITS", 64)
+    rng = random.Random(5)
+    for _ in range(300):
+        sizes = {rng.randint(2, 60): rng.randint(1, 8) for _ in range(rng.randint(1, 5))}
+        total = sum(s * m for s, m in sizes.items())
+        target = rng.randint(0, total // 2)
+        got = choose(sizes, target)
+        assert all(got[s] <= sizes[s] for s in got) and abs(sum(s * k for s, k in got.items()) - target) <= max(sizes)
+
+
+def test_two_targets_are_chosen_together():
+    rng = random.Random(3)
+    for _ in range(150):
+        sizes = {rng.randint(1, 12): rng.randint(1, 3) for _ in range(rng.randint(1, 4))}
+        total = sum(s * m for s, m in sizes.items())
+        targets = [rng.randint(0, total // 3), rng.randint(0, total // 3)]
+        reach = {(0, 0)}
         for s, m in sizes.items():
-            reach = {r + s * k for r in reach for k in range(m - base[s] + 1)}
-        assert abs(sum(s * k for s, k in got.items()) - target) == min(abs(r - target) for r in reach)
+            reach = {(v + s * i, t + s * j) for v, t in reach for i in range(m + 1) for j in range(m + 1 - i)}
+        got = choose_all(sizes, targets)
+        assert all(got[0].get(s, 0) + got[1].get(s, 0) <= m for s, m in sizes.items())
+        off = sum(abs(sum(s * k for s, k in g.items()) - t) for g, t in zip(got, targets))
+        assert off == min(abs(v - targets[0]) + abs(t - targets[1]) for v, t in reach), (sizes, targets)
 
 
 def test_assign_keeps_quota(spark):
