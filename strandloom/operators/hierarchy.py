@@ -11,8 +11,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strandloom.session import materialize
-
+from strandloom.operators.skew import salted_join, skew_join
+from strandloom.session import drop_table, materialize
 
 
 #: A parent of more than 1/SHARE of all nodes is hot; its children are spread over SALTS reducers.
@@ -64,21 +64,23 @@ def hierarchy(edges: DataFrame, levels_per_job: int = 12) -> DataFrame:
     empty table gives no rows; repeated node rows are a caller's error and give repeated results.
     """
     edges = materialize(edges.select("node", "parent"), "edges")
+    linked = edges.filter(F.col("parent").isNotNull())
     known = edges.select(F.col("node").alias("parent"))
-    children = edges.filter(F.col("parent").isNotNull()).groupBy("parent").agg(F.count("*").alias("kids")).join(known, "parent", "left_semi")
+    children = linked.groupBy("parent").agg(F.count("*").alias("kids")).join(known, "parent", "left_semi")
     children = materialize(children, "kids")
     # fewer than SHARE parents can be that large, whatever the data
     hot = [r[0] for r in children.filter(F.col("kids") * SHARE > edges.count()).select("parent").collect()]
-    inner = edges.join(children.select(F.col("parent").alias("node"), "kids"), "node")
-    # a parent that has no row counts as none
-    inner = inner.join(children.select("parent", F.lit(1).alias("__has")), "parent", "left").select(
-        "node", F.when(F.col("__has").isNotNull(), F.col("parent")).alias("parent"), "kids"
-    )
+    parents = children.select(F.col("parent").alias("node"), "kids")
+    # rows without parent never meet in a join on it; a parent that has no row counts as none
+    has = children.select("parent", F.lit(True).alias("__has"))
+    below = salted_join(linked.join(parents, "node"), has, ["parent"], "left", [(h,) for h in hot])
+    inner = below.select("node", F.when(F.col("__has"), F.col("parent")).alias("parent"), "kids").unionByName(edges.filter(F.col("parent").isNull()).join(parents, "node"))
     inner = materialize(inner, "inner")
     roots = inner.filter(F.col("parent").isNull()).select("node", F.col("node").alias("root"), F.lit(0).alias("depth"), F.array("node").alias("path"))
     links = inner.filter(F.col("parent").isNotNull()).select("node", "parent")
+    blocks = _frontiers(links, roots, levels_per_job, hot)
     reached = roots
-    for block in _frontiers(links, roots, levels_per_job, hot):
+    for block in blocks:
         reached = reached.unionByName(block)
     reached = materialize(reached, "reached")
     lost = materialize(inner.join(reached.select("node"), "node", "left_anti"), "lost")
@@ -87,38 +89,42 @@ def hierarchy(edges: DataFrame, levels_per_job: int = 12) -> DataFrame:
     tree = reached.join(pairs.join(kids, "node").groupBy("anc").agg(F.sum("kids").alias("n_desc")).withColumnRenamed("anc", "node"), "node").select(
         "node", "root", "depth", "n_desc", F.lit(False).alias("on_circle"), "path"
     )
-    if lost.isEmpty():
-        top = tree
-    else:
-        top = tree.unionByName(_circles(lost, levels_per_job, hot))
-    top = materialize(top, "top")
+    n_lost = lost.count()
+    top = materialize(tree.unionByName(_circles(lost, levels_per_job, hot)) if n_lost else tree, "top")
+    for done in (*blocks, reached, lost, inner):
+        drop_table(done)
     parents = top.select(F.col("node").alias("parent"), F.col("root").alias("p_root"), F.col("depth").alias("p_depth"), F.col("path").alias("p_path"))
-    leaves = edges.join(children.select(F.col("parent").alias("node")), "node", "left_anti").join(parents, "parent", "left")
+    leaf = lambda rows: rows.join(children.select(F.col("parent").alias("node")), "node", "left_anti")
+    under = salted_join(leaf(linked), parents, ["parent"], "left", [(h,) for h in hot])
     lone, lost_leaf = F.col("p_root").isNull(), F.col("p_root") == -1
-    leaf_rows = leaves.select(
-        "node",
-        F.when(lone, F.col("node")).otherwise(F.col("p_root")).alias("root"),
-        F.when(lone, 0).when(lost_leaf, -1).otherwise(F.col("p_depth") + 1).cast("int").alias("depth"),
-        F.lit(0).cast("long").alias("n_desc"),
-        F.lit(False).alias("on_circle"),
-        F.when(lone, F.array("node")).otherwise(F.concat("p_path", F.array("node"))).alias("path"),
-    )
-    return top.unionByName(leaf_rows)
+    row = lambda root, depth, path: ("node", root.alias("root"), depth.cast("int").alias("depth"), F.lit(0).cast("long").alias("n_desc"), F.lit(False).alias("on_circle"), path.alias("path"))
+    return (
+        top.unionByName(leaf(edges.filter(F.col("parent").isNull())).select(*row(F.col("node"), F.lit(0), F.array("node"))))
+        .unionByName(under.select(*row(
+            F.when(lone, F.col("node")).otherwise(F.col("p_root")),
+            F.when(lone, 0).when(lost_leaf, -1).otherwise(F.col("p_depth") + 1),
+            F.when(lone, F.array("node")).otherwise(F.concat("p_path", F.array("node"))),
+        )))
+    )
 
 
 def _circles(lost: DataFrame, levels_per_job: int, hot: list[int]) -> DataFrame:
     """Rows of the inner nodes that no root reaches: on a circle, or on a tree that hangs from one."""
     # after enough doublings every pointer is on a circle, and each circle's nodes are exactly the targets
-    jump = lost.select("node", F.col("parent").alias("to"), F.least("node", "parent").alias("low"))
+    jump = materialize(lost.select("node", F.col("parent").alias("to"), F.least("node", "parent").alias("low")), "jump")
     before = None
     while True:
         nxt = jump.select(F.col("node").alias("to"), F.col("to").alias("to2"), F.col("low").alias("low2"))
-        jump = materialize(jump.join(nxt, "to").select("node", F.col("to2").alias("to"), F.least("low", "low2").alias("low")), "jump")
+        after = skew_join(jump, nxt, ["to"], "inner").select("node", F.col("to2").alias("to"), F.least("low", "low2").alias("low"), (F.col("low2") < F.col("low")).alias("lower"))
+        after = materialize(after, "jump")
+        drop_table(jump)
+        jump = after
         targets = jump.select(F.col("to").alias("node")).distinct()
-        state = jump.join(targets, "node", "left_semi").agg(F.count("*"), F.sum("low")).first()
-        if tuple(state) == before:
+        # targets that no longer get fewer are all circles; nodes of those whose least node no longer falls know it
+        n, lower = jump.join(targets, "node", "left_semi").agg(F.count("*"), F.max("lower")).first()
+        if n == before and not lower:
             break
-        before = tuple(state)
+        before = n
     circle = jump.join(targets, "node", "left_semi").select("node", F.col("low").alias("circle"))
     roots = circle.select("node", F.col("circle").alias("root"), F.lit(0).alias("depth"), F.array("node").alias("path"))
     links = lost.join(circle.select("node"), "node", "left_anti").select("node", "parent")

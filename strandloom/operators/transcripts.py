@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from strandloom.operators.multivalue import pick_values
+
 TX = ["species", "tx_id"]
 
 
@@ -16,18 +18,15 @@ def features_of(rows: DataFrame, attributes: str = "attributes") -> DataFrame:
     """Canonical features of gff rows: known place and strand, equal rows once (under their smallest feat_id).
 
     Rows with a null chr, start or end, with start after end, or a strand other than + and - are left out; rows without
-    attributes keep null ids.
+    attributes keep null ids. Ids come from the quote-aware tokenizer: the first value of each key.
     """
-    from strandloom.functions.sequence import attribute
-
-    a = F.col(attributes)
-    gene_row = F.col("type") == "gene"
-    own = F.coalesce(attribute(a, "ID"), F.when(F.col("type").isin("mRNA", "transcript"), attribute(a, "transcript_id")))
-    part = F.coalesce(attribute(a, "Parent"), attribute(a, "transcript_id"))
-    tx = F.when(F.col("type").isin("mRNA", "transcript"), own).when(~gene_row, part)
-    gene = F.when(gene_row, F.coalesce(attribute(a, "ID"), attribute(a, "gene_id"))).when(F.col("type").isin("mRNA", "transcript"), F.coalesce(attribute(a, "Parent"), attribute(a, "gene_id")))
     known = F.col("chr").isNotNull() & (F.col("start") <= F.col("end")) & F.col("strand").isin("+", "-")
-    named = rows.filter(known).select("species", F.col("chr").alias("chrom"), "source", F.col("type").alias("feature"), "start", "end", "strand", "phase", tx.alias("tx_id"), gene.alias("gene_id"), "feat_id")
+    named = rows.filter(known).select("species", F.col("chr").alias("chrom"), "source", F.col("type").alias("feature"), "start", "end", "strand", "phase", "feat_id", F.col(attributes).alias("attributes"))
+    named = pick_values(named, "attributes", ["ID", "Parent", "gene_id", "transcript_id"], "a_").drop("attributes")
+    is_tx, is_gene = F.col("feature").isin("mRNA", "transcript"), F.col("feature") == "gene"
+    tx = F.when(is_tx, F.coalesce("a_ID", "a_transcript_id")).when(~is_gene, F.coalesce("a_Parent", "a_transcript_id"))
+    gene = F.when(is_gene, F.coalesce("a_ID", "a_gene_id")).when(is_tx, F.coalesce("a_Parent", "a_gene_id"))
+    named = named.withColumn("tx_id", tx).withColumn("gene_id", gene).drop("a_ID", "a_Parent", "a_gene_id", "a_transcript_id")
     return named.groupBy(*[c for c in named.columns if c != "feat_id"]).agg(F.min("feat_id").alias("ord"))
 
 

@@ -13,6 +13,7 @@ from strandloom.operators import transcripts as tx
 from strandloom.operators.skew import skew_join
 from strandloom.operators.sweep import coverage_segments
 from strandloom.operators.tree_agg import tree_aggregate
+from strandloom.plans.attributes_sql import first_value, with_pairs
 from strandloom.session import materialize, table
 from strandloom.sources.annotation import assembled, ensembl_length, gtf_lines, is_ensembl_name, is_refseq_name, source_kind
 
@@ -20,15 +21,15 @@ QUERIES: dict = {}
 SQL: dict[str, str] = {}
 
 #: Base of the SQL side: canonical features as features_of() makes them.
-_ATTR = lambda key: f"""nullif(regexp_extract(attributes, '(?:^|[;,|])\\s*{key}\\s*[= ]\\s*["'']?([^;,|"''\\s]+)', 1), '')"""
 FEATURES_SQL = f"""
+    {with_pairs("gff_features", "pz")},
     r AS (SELECT species, chr AS chrom, source, type AS feature, start AS s, "end" AS e, strand, phase,
-                 CASE WHEN type IN ('mRNA', 'transcript') THEN coalesce({_ATTR('ID')}, {_ATTR('transcript_id')})
-                      WHEN type <> 'gene' THEN coalesce({_ATTR('Parent')}, {_ATTR('transcript_id')}) END AS tx,
-                 CASE WHEN type = 'gene' THEN coalesce({_ATTR('ID')}, {_ATTR('gene_id')})
-                      WHEN type IN ('mRNA', 'transcript') THEN coalesce({_ATTR('Parent')}, {_ATTR('gene_id')}) END AS gene,
+                 CASE WHEN type IN ('mRNA', 'transcript') THEN coalesce({first_value('ID')}, {first_value('transcript_id')})
+                      WHEN type <> 'gene' THEN coalesce({first_value('Parent')}, {first_value('transcript_id')}) END AS tx,
+                 CASE WHEN type = 'gene' THEN coalesce({first_value('ID')}, {first_value('gene_id')})
+                      WHEN type IN ('mRNA', 'transcript') THEN coalesce({first_value('Parent')}, {first_value('gene_id')}) END AS gene,
                  feat_id
-          FROM gff_features WHERE chr IS NOT NULL AND start <= "end" AND strand IN ('+', '-')),
+          FROM pz WHERE chr IS NOT NULL AND start <= "end" AND strand IN ('+', '-')),
     f AS (SELECT species, chrom, source, feature, s, e, strand, phase, tx, gene, min(feat_id) AS ord FROM r GROUP BY ALL),
     cds AS (SELECT * FROM f WHERE feature = 'CDS' AND tx IS NOT NULL)"""
 

@@ -11,6 +11,7 @@ from strandloom.operators.multivalue import explode_values, pick_values
 from strandloom.operators.skew import skew_join
 from strandloom.operators.sweep import coverage_segments
 from strandloom.operators.tree_agg import heavy_keys, tree_aggregate
+from strandloom.plans.problems_sql import SQL  # noqa: F401
 from strandloom.session import materialize, table
 
 
@@ -90,22 +91,3 @@ def p6_found(spark: SparkSession, d: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (p1_found, p1_key_stats, p2_found, p3_found, p3_paths, p5_found, p5_edits, p5_valid, p6_found)}
-
-SQL = {
-    "p1_found": """
-        SELECT species, chrom FROM chunks WHERE species IS NOT NULL AND chrom IS NOT NULL
-        GROUP BY species, chrom HAVING count(*) * 25 >= (SELECT count(*) FROM chunks)""",
-    "p1_key_stats": """
-        SELECT species, chrom, count(*) AS n_rows, count(seq) AS n_seq, CAST(sum(length(seq)) AS BIGINT) AS n_bases,
-               min("begin") AS first_begin, max("end") AS last_end, count(DISTINCT "begin") AS n_begins
-        FROM chunks GROUP BY species, chrom""",
-    "p6_found": """
-        WITH x AS (SELECT species, chr, strand, start AS s, "end" AS e FROM gff_features
-                   WHERE type = 'exon' AND strand IN ('+', '-') AND chr IS NOT NULL AND start <= "end"),
-        m AS (SELECT *, max(e) OVER (PARTITION BY species, chr, strand ORDER BY s, e ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS pe FROM x),
-        g AS (SELECT *, sum(CASE WHEN pe IS NULL OR s > pe + 1 THEN 1 ELSE 0 END) OVER (PARTITION BY species, chr, strand ORDER BY s, e ROWS UNBOUNDED PRECEDING) AS k FROM m),
-        p AS (SELECT species, chr, strand, k, min(s) AS s, max(e) AS e FROM g GROUP BY ALL),
-        n AS (SELECT *, lead(s) OVER (PARTITION BY species, chr, strand ORDER BY s) AS ns FROM p)
-        SELECT species, chr, strand, 'period' AS kind, s AS seg_start, e AS seg_end FROM p
-        UNION ALL SELECT species, chr, strand, 'gap', e + 1, ns - 1 FROM n WHERE ns - e - 1 BETWEEN 1 AND 10000""",
-}

@@ -13,6 +13,7 @@ from strandloom.operators import bad_rows
 from strandloom.operators.bad_rows import cheapest_parses, rejected_lines, valid_lines
 from strandloom.operators.hierarchy import hierarchy
 from strandloom.operators.multivalue import explode_values, pick_values
+from strandloom.operators.components import components
 from strandloom.operators.skew import skew_join
 from strandloom.operators.sweep import coverage_segments
 from strandloom.operators.tree_agg import heavy_keys, tree_aggregate
@@ -131,7 +132,26 @@ def test_skew_join_is_a_join(spark):
     many = spark.createDataFrame([("h", i) for i in range(300)] + [("c", 1), (None, 2), ("z", 3)], "k string, i bigint")
     one = spark.createDataFrame([("h", "H"), ("c", "C"), ("q", "Q")], "k string, v string")
     for how in ("left", "inner"):
-        assert rows(skew_join(many, one, ["k"], how, salts=4, share=10)) == rows(many.join(one, ["k"], how))
+        assert rows(skew_join(many, one, ["k"], how, salts=4, share=10, least=50)) == rows(many.join(one, ["k"], how))
+
+
+def test_components_of_large_ids_stars_and_chains(spark):
+    big = 1 << 62
+    edges = [(big + i, big + i + 1) for i in range(40)] + [(-big, -big + i) for i in range(1, 60)] + [(5, 5), (None, 7), (8, 9), (9, 8), (9, 10)]
+    got = {r.node: r.root for r in components(spark.createDataFrame(edges, "u bigint, v bigint")).collect()}
+    assert got == {big + i: big for i in range(41)} | {-big + i: -big for i in range(60)} | {5: 5, 8: 8, 9: 8, 10: 8}
+
+
+def test_components_with_hot_parents(spark, monkeypatch):
+    from strandloom.operators import components as c
+    from strandloom.operators import skew
+
+    rng = random.Random(8)
+    edges = [(rng.randint(0, 3), i) for i in range(4, 120)] + [(i, i + 1) for i in range(200, 230)] + [(rng.randint(300, 330), rng.randint(300, 330)) for _ in range(25)]
+    plain = {tuple(r) for r in components(spark.createDataFrame(edges, "u bigint, v bigint")).collect()}
+    monkeypatch.setattr(c, "hot_keys", lambda many, on, share=20, least=1: skew.hot_keys(many, on, 20, 1))
+    monkeypatch.setattr(c, "skew_join", lambda many, one, on, how: skew.skew_join(many, one, on, how, 3, 20, 1))
+    assert {tuple(r) for r in components(spark.createDataFrame(edges, "u bigint, v bigint")).collect()} == plain
 
 
 # ---- p5
