@@ -55,15 +55,17 @@ def overlap_edges(starts: DataFrame) -> DataFrame:
 
 
 def chunk_groups(chunks: DataFrame, sequences: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(placed, starts): each chunk's interval, and each distinct start with its group root, count and group size."""
+    """(placed, starts): each chunk's interval, and each distinct start with its group (the smallest chunk_id), the number of
+    its chunks and the size of its group."""
     placed = materialize(forward_intervals(chunks, sequences), "placed")
-    # all chunks with one start share that base: copies and equal starts are one node, its smallest chunk_id
-    starts = placed.filter("fb is not null").groupBy("species", "chrom", "fb").agg(F.max("fe").alias("fe"), F.min("chunk_id").alias("node"), F.count("*").alias("n"))
-    starts = materialize(starts, "starts")
+    # all chunks with one start share that base: copies and equal starts are one node. Nodes are numbered by place, so each
+    # start hooks onto one before it and the first round of hooking already joins whole groups
+    starts = placed.filter("fb is not null").groupBy("species", "chrom", "fb").agg(F.max("fe").alias("fe"), F.min("chunk_id").alias("first"), F.count("*").alias("n"))
+    starts = materialize(starts.orderBy("species", "chrom", "fb").withColumn("node", F.monotonically_increasing_id()), "starts")
     roots = components(overlap_edges(starts))
-    labelled = materialize(starts.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node")).select("species", "chrom", "fb", "n", "root"), "labelled")
-    sizes = labelled.groupBy("root").agg(F.sum("n").alias("size"))
-    return placed, labelled.join(sizes, "root")
+    labelled = materialize(starts.join(roots, "node", "left").select("species", "chrom", "fb", "n", "first", F.coalesce("root", "node").alias("tree")), "labelled")
+    groups = labelled.groupBy("tree").agg(F.sum("n").alias("size"), F.min("first").alias("root"))
+    return placed, skew_join(labelled, groups, ["tree"], "inner").select("species", "chrom", "fb", "n", "root", "size")
 
 
 def related_groups(chunks: DataFrame, sequences: DataFrame) -> DataFrame:
@@ -210,6 +212,6 @@ def split_chunks(chunks: DataFrame, sequences: DataFrame, shares: dict[str, floa
     lone = placed.filter("fb is null").select(F.col("chunk_id").alias("root"), F.lit(1).cast("bigint").alias("size"))
     groups = starts.select("root", "size").distinct().unionByName(lone)
     splits = materialize(assign_splits(groups, shares or {"validation": 0.1, "test": 0.1}), "splits")
-    by_start = starts.select("species", "chrom", "fb", "root").join(splits, "root").select("species", "chrom", "fb", "split")
+    by_start = skew_join(starts.select("species", "chrom", "fb", "root"), splits, ["root"], "inner").select("species", "chrom", "fb", "split")
     near = skew_join(placed.filter("fb is not null"), by_start, ["species", "chrom", "fb"], "inner").select("chunk_id", "split")
     return near.unionByName(lone.join(splits, "root").select(F.col("root").alias("chunk_id"), "split"))

@@ -115,8 +115,8 @@ def _circles(lost: DataFrame, levels_per_job: int, hot: list[int]) -> DataFrame:
     before = None
     while True:
         nxt = jump.select(F.col("node").alias("to"), F.col("to").alias("to2"), F.col("low").alias("low2"))
-        after = skew_join(jump, nxt, ["to"], "inner").select("node", F.col("to2").alias("to"), F.least("low", "low2").alias("low"), (F.col("low2") < F.col("low")).alias("lower"))
-        after = materialize(after, "jump")
+        twice = skew_join(jump, nxt, ["to"], "inner").select("node", F.col("to2").alias("to"), F.least("low", "low2").alias("low"), (F.col("low2") < F.col("low")).alias("lower"))
+        after = materialize(twice, "jump")
         drop_table(jump)
         jump = after
         targets = jump.select(F.col("to").alias("node")).distinct()
