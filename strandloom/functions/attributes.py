@@ -106,10 +106,11 @@ def _unquote(text: bytes, closed: bool) -> bytes:
     return _ESCAPED[q].sub(q, body) if q in body else body
 
 
-def split_values(raw, first, last, separators=";,|", brackets="", keys: set[bytes] | None = None):
+def split_values(raw, first, last, separators=";,|", brackets="", keys: set[bytes] | None = None, mark: bool = False):
     """Values of every row: lists (row number, position from 1, key, value), plus per row: quoting broken.
 
-    keys: keep these keys only (positions still count all values). A row that is empty or a lone '.' has no values.
+    keys: keep these keys only (positions still count all values). mark: also a list that tells which values stand beside a
+    key of their own. A row that is empty or a lone '.' has no values.
     """
     states = run_states(raw, first, last, separators, brackets)
     n = len(first)
@@ -142,7 +143,7 @@ def split_values(raw, first, last, separators=";,|", brackets="", keys: set[byte
     if len(junk):
         np.logical_or.at(broken, row_of[junk > 0], True)
     data = raw.tobytes()
-    out_row, out_pos, out_key, out_val = [], [], [], []
+    out_row, out_pos, out_key, out_val, out_own = [], [], [], [], []
     at, key, pos = -1, None, 0
     todo = np.flatnonzero(cut_e > cut_s)
     for row, s, e, w, v, q, j, p in zip(*(a[todo].tolist() for a in (row_of, cut_s, cut_e, words, valued, quoted, junk, plain))):
@@ -169,4 +170,5 @@ def split_values(raw, first, last, separators=";,|", brackets="", keys: set[byte
             out_pos.append(pos)
             out_key.append(key)
             out_val.append(val)
-    return out_row, out_pos, out_key, out_val, broken
+            out_own.append(bool(w and (v or q or p)))
+    return (out_row, out_pos, out_key, out_val, broken, out_own) if mark else (out_row, out_pos, out_key, out_val, broken)

@@ -6,6 +6,20 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strandloom.functions.sequence import reverse_complement, round_half_even
+from strandloom.operators.skew import skew_join
+from strandloom.operators.sweep import with_previous
+
+
+def slices(seq: Column, starts: Column, width) -> Column:
+    """Array of (begin, bases) for an array of 0-based begins: slices of single-byte letters by byte position, in one pass
+    over the sequence (by characters each slice would count from its start)."""
+    raw = seq.cast("binary")
+    return F.transform(starts, lambda b: F.struct(b.alias("begin"), F.substring(raw, (b + 1).cast("int"), F.lit(width)).cast("string").alias("bases")))
+
+
+def _starts(n: Column, step: int) -> Column:
+    """0, step, ... (n of them); none for n < 1."""
+    return F.when(n >= 1, F.transform(F.sequence(F.lit(0).cast("bigint"), F.greatest(n, F.lit(1).cast("bigint")) - 1), lambda i: i * step)).otherwise(F.array().cast("array<bigint>"))
 
 
 def fixed_chunks(sequences: DataFrame, size: int, overlap: int = 0, strand: str = "forward") -> DataFrame:
@@ -14,45 +28,89 @@ def fixed_chunks(sequences: DataFrame, size: int, overlap: int = 0, strand: str
     (L - overlap) // (size - overlap) chunks; none if the sequence is shorter than size. On 'backward' begin and end
     count on the reverse-complemented sequence. Null sequences give no chunks.
     """
-    step = size - overlap
-    seq = F.col("seq") if strand == "forward" else reverse_complement(F.col("seq"))
-    n = F.floor((F.length("seq") - overlap) / step)
-    rows = sequences.select("species", "chrom", seq.alias("__s"), n.alias("__n")).filter("__n >= 1")
-    i = rows.withColumn("__i", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("__n") - 1)))
-    begin = F.col("__i") * step
-    return i.select("species", "chrom", F.col("__s").substr((begin + 1).cast("int"), F.lit(size)).alias("seq"), begin.alias("begin"), (begin + size).alias("end"), F.lit(strand).alias("strand"))
+    length = F.length("seq").cast("bigint")
+    starts = _starts(F.floor((length - overlap) / (size - overlap)), size - overlap)
+    if strand == "forward":
+        begin, bases = F.col("x.begin"), F.col("x.bases")
+    else:  # the same chunks from the other end
+        starts = F.transform(starts, lambda b: length - b - size)
+        begin, bases = F.col("__len") - F.col("x.begin") - size, reverse_complement(F.col("x.bases"))
+    rows = sequences.select("species", "chrom", length.alias("__len"), F.explode(slices(F.col("seq"), starts, size)).alias("x"))
+    return rows.select("species", "chrom", bases.alias("seq"), begin.alias("begin"), (begin + size).alias("end"), F.lit(strand).alias("strand"))
 
 
 def tail_chunks(sequences: DataFrame, size: int, overlap: int) -> DataFrame:
     """(species, chrom, no, start, end, seq): starts every size - overlap bases, 1-based closed, the tail kept; a
     sequence shorter than size is one chunk from 0 to length - 1 (its old convention)."""
-    step, length = size - overlap, F.length("seq")
-    rows = sequences.filter(length > 0).withColumn("__i", F.explode(F.when(length < size, F.array(F.lit(0))).otherwise(F.sequence(F.lit(0), length - 1, F.lit(step)))))
-    short = length < size
-    begin, stop = F.col("__i"), F.least(F.col("__i") + size, length)
+    step, length = size - overlap, F.length("seq").cast("bigint")
+    starts = _starts(F.when(length < size, F.least(length, F.lit(1))).otherwise(F.ceil(length / step)), step)
+    rows = sequences.select("species", "chrom", length.alias("__len"), F.explode(slices(F.col("seq"), starts, size)).alias("x"))
+    short, begin = F.col("__len") < size, F.col("x.begin")
     return rows.select(
-        "species", "chrom", (F.col("__i") / step).cast("int").alias("no"),
-        F.when(short, 0).otherwise(begin + 1).alias("start"), F.when(short, length - 1).otherwise(stop).alias("end"),
-        F.col("seq").substr(begin + 1, stop - begin).alias("seq"),
+        "species", "chrom", F.when(short, 0).otherwise((begin / step).cast("int")).alias("no"),
+        F.when(short, 0).otherwise(begin + 1).alias("start"), F.when(short, F.col("__len") - 1).otherwise(F.least(begin + size, F.col("__len"))).alias("end"), F.col("x.bases").alias("seq"),
     )
 
 
+def reverse_tail_chunks(sequences: DataFrame, size: int, overlap: int) -> DataFrame:
+    """tail_chunks of the upper-case reverse complement of each sequence."""
+    return tail_chunks(sequences.select("species", "chrom", reverse_complement(F.upper("seq")).alias("seq")), size, overlap)
+
+
 def stranded_chunks(sequences: DataFrame, size: int, overlap: int = 0) -> DataFrame:
     """(species, chrom, strand, no, start, end, seq): fixed chunks of both strands with forward 1-based coordinates;
     backward chunks are numbered from the sequence's end, and each has the reverse complement of its own coordinates."""
-    fwd = fixed_chunks(sequences, size, overlap).select("species", "chrom", "begin", "end", "seq")
-    step = size - overlap
-    one = fwd.select("species", "chrom", F.lit("+").alias("strand"), (F.col("begin") / step).cast("int").alias("no"), (F.col("begin") + 1).alias("start"), "end", "seq")
-    n = fwd.groupBy("species", "chrom").agg((F.max("begin") / step).cast("int").alias("__last"))
-    two = fwd.join(n, ["species", "chrom"]).select("species", "chrom", F.lit("-").alias("strand"), (F.col("__last") - (F.col("begin") / step).cast("int")).alias("no"), (F.col("begin") + 1).alias("start"), "end", reverse_complement(F.col("seq")).alias("seq"))
-    return one.unionByName(two)
+    step, length = size - overlap, F.length("seq").cast("bigint")
+    n = F.floor((length - overlap) / step)
+    rows = sequences.select("species", "chrom", n.alias("__n"), F.explode(slices(F.col("seq"), _starts(n, step), size)).alias("x"))
+    no, bases = (F.col("x.begin") / step).cast("int"), F.col("x.bases")
+    sides = F.explode(F.array(
+        F.struct(F.lit("+").alias("strand"), no.alias("no"), bases.alias("seq")), F.struct(F.lit("-").alias("strand"), (F.col("__n").cast("int") - 1 - no).alias("no"), reverse_complement(bases).alias("seq")),
+    ))
+    return rows.select("species", "chrom", F.col("x.begin").alias("b"), sides.alias("y")).select(
+        "species", "chrom", "y.strand", "y.no", (F.col("b") + 1).alias("start"), (F.col("b") + size).alias("end"), "y.seq"
+    )
+
+
+#: Bases of a sequence block.
+BLOCK = 1 << 16
 
 
-def blocks(sequences: DataFrame, block: int = 1 << 20) -> DataFrame:
-    """(species, chrom, block_no, bases): sequences cut into blocks, so that long chromosomes spread over tasks."""
-    n = F.ceil(F.length("seq") / block)
-    rows = sequences.filter(F.length("seq") > 0).withColumn("block_no", F.explode(F.sequence(F.lit(0).cast("bigint"), n - 1)))
-    return rows.select("species", "chrom", "block_no", F.col("seq").substr((F.col("block_no") * block + 1).cast("int"), F.lit(block)).alias("bases"))
+def blocks(sequences: DataFrame, block: int = BLOCK) -> DataFrame:
+    """(species, chrom, block_no, bases): sequences cut into blocks, so that bases are joined without their chromosome."""
+    starts = _starts(F.ceil(F.length("seq").cast("bigint") / block), block)
+    rows = sequences.select("species", "chrom", F.explode(slices(F.col("seq"), starts, block)).alias("x"))
+    return rows.select("species", "chrom", F.expr(f"x.begin div {block}").alias("block_no"), F.col("x.bases").alias("bases"))
+
+
+def base_pieces(df: DataFrame, sequences: DataFrame, start: str, end: str, block: int = BLOCK) -> DataFrame:
+    """df with piece and bases: the bases of each row's 1-based closed interval, one row per sequence block it touches, in
+    order of piece. Only blocks are joined, hot ones salted. A sequence of at most one block stands for its endless
+    repetition; beyond the end of a longer one there are no bases. Rows without a sequence are left out."""
+    seq = sequences.filter(F.length("seq") > 0)
+    known = seq.select("species", "chrom", F.length("seq").cast("bigint").alias("__len"))
+    rows = skew_join(df, known, ["species", "chrom"], "inner").withColumn("__width", F.least("__len", F.lit(block)))
+    no = F.explode(F.sequence(F.floor((F.col(start) - 1) / F.col("__width")), F.floor((F.col(end) - 1) / F.col("__width"))))
+    rows = rows.filter(F.col(start) <= F.col(end)).withColumn("piece", no).withColumn("block_no", F.when(F.col("__len") <= block, F.lit(0).cast("bigint")).otherwise(F.col("piece")))
+    rows = skew_join(rows, blocks(seq, block), ["species", "chrom", "block_no"], "inner")
+    first = F.greatest(F.col(start) - 1 - F.col("piece") * F.col("__width"), F.lit(0))
+    last = F.least(F.col(end) - F.col("piece") * F.col("__width"), F.col("__width"))
+    return rows.withColumn("bases", F.substring("bases", (first + 1).cast("int"), (last - first).cast("int"))).drop("__len", "__width", "block_no")
+
+
+def forward_intervals(chunks: DataFrame, sequences: DataFrame) -> DataFrame:
+    """(chunk_id, species, chrom, fb, fe): forward half-open bases of each chunk; fb is null where they are unknown.
+
+    Backward chunks count on the reverse-complemented chromosome, whose length comes from sequences. Unknown: a null
+    species, chrom, begin or end, an empty interval, or a backward chunk whose chromosome has no length.
+    """
+    lengths = sequences.groupBy("species", "chrom").agg(F.max("length").alias("__len"))
+    c = chunks.select("chunk_id", "species", "chrom", F.col("begin").alias("b"), F.col("end").alias("e"), "strand")
+    c = skew_join(c, lengths, ["species", "chrom"], "left")
+    back = F.coalesce(F.col("strand") == "backward", F.lit(False))
+    fb, fe = F.when(back, F.col("__len") - F.col("e")).otherwise(F.col("b")), F.when(back, F.col("__len") - F.col("b")).otherwise(F.col("e"))
+    known = F.col("species").isNotNull() & F.col("chrom").isNotNull() & (fb < fe)
+    return c.select("chunk_id", "species", "chrom", F.when(known, fb).alias("fb"), F.when(known, fe).alias("fe"))
 
 
 def sampled_starts(lengths: DataFrame, size: int, first: int = 3000) -> DataFrame:
@@ -86,6 +144,17 @@ def masked_bases(segments: DataFrame, keys: list[str], size: int, classes: dict[
     return on_grid(segments, size, "s", "e").groupBy(*keys, "chunk_no").agg(*sums)
 
 
+def complete_chunks(listed: DataFrame, places: DataFrame, keys: list[str], bin_bits: int = 10) -> DataFrame:
+    """listed (keys, chunk_no, values) with n_chunks = 1, and a row for each run of chunks that are not listed: its first
+    chunk_no, how many they are as n_chunks, and null values. places: keys and n, the number of whole chunks there; listed
+    chunks beyond them are left out, places without any listed chunk are one run."""
+    inner = listed.join(places.select(*keys, "n"), keys, "left").filter("n is null or chunk_no < n").drop("n")
+    ends = places.select(*keys, F.explode(F.array(F.lit(-1).cast("bigint"), F.col("n"))).alias("chunk_no"))
+    at = with_previous(inner.select(*keys, "chunk_no").unionByName(ends), keys, "chunk_no", "chunk_no", "__was", bin_bits)
+    gaps = at.filter("chunk_no - __was > 1").select(*keys, (F.col("__was") + 1).alias("chunk_no"), (F.col("chunk_no") - F.col("__was") - 1).alias("n_chunks"))
+    return inner.withColumn("n_chunks", F.lit(1).cast("bigint")).unionByName(gaps, allowMissingColumns=True)
+
+
 def chunk_class(intron: Column, coding: Column, genic: Column, size: int, least: int = 100) -> Column:
     """intergenic if no base is genic, intron if every base is, cds with at least ``least`` coding bases, else non."""
     return F.when(genic == 0, "intergenic").when((intron == size) & (coding == 0), "intron").when(coding >= least, "cds").otherwise("non")

@@ -10,13 +10,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from strandloom.operators.sweep import prefix_sum
+from strandloom.operators.sweep import prefix_max, prefix_sum, with_previous
 
 PLACE = ["species", "chrom", "strand"]
 
 
 def cover_segments(features: DataFrame, keys: list[str], bits: dict[str, int], bin_bits: int = 14) -> DataFrame:
-    """(keys, s, e, mask): runs of bases with the OR of the bits of all features that cover them.
+    """(keys, s, e, mask): longest runs of bases with the same OR of the bits of all features that cover them.
 
     features: keys, start, end, label; rows with labels outside bits are ignored. Bases without a feature get no
     segment. Per bit a sweep line counts active features, so overlapping copies cost nothing.
@@ -31,32 +31,37 @@ def cover_segments(features: DataFrame, keys: list[str], bits: dict[str, int], b
     mask = F.lit(0)
     for i, n in enumerate(names):
         mask = mask + F.when(F.col(f"n{i}") > 0, bits[n]).otherwise(0)
-    at = events.select(*keys, F.col("p").alias("s"), mask.alias("mask"))
-    return _with_ends(at, keys, bin_bits).filter("mask > 0")
+    at = with_previous(events.select(*keys, F.col("p").alias("s"), mask.alias("mask")), keys, "s", "mask", "__was", bin_bits)
+    return _with_ends(at.filter("__was is null or __was <> mask").drop("__was"), keys, bin_bits).filter("mask > 0")
+
+
+def _with_next(at: DataFrame, keys: list[str], pos: str, bin_bits: int) -> DataFrame:
+    """at with the position of each row's next row as __next (null at the last), found inside its bin or at the first row of
+    the next bin."""
+    binned = at.withColumn("__bin", F.shiftright(pos, bin_bits)).withColumn("__real", F.lit(True))
+    bins = binned.groupBy(*keys, "__bin").agg(F.min(pos).alias("__first"))
+    nxt = bins.select(*keys, "__bin", F.lit(False).alias("__real"), F.lead("__first").over(W.partitionBy(*keys).orderBy("__bin")).alias(pos)).filter(F.col(pos).isNotNull())
+    w = W.partitionBy(*keys, "__bin").orderBy(pos)
+    return binned.unionByName(nxt, allowMissingColumns=True).withColumn("__next", F.lead(pos).over(w)).filter("__real").drop("__bin", "__real")
 
 
 def _with_ends(at: DataFrame, keys: list[str], bin_bits: int) -> DataFrame:
-    """Each row's end: one before the next row's start, found inside its bin or at the first row of the next bin."""
-    binned = at.withColumn("__bin", F.shiftright("s", bin_bits))
-    bins = binned.groupBy(*keys, "__bin").agg(F.min("s").alias("__first"))
-    nxt = bins.withColumn("__next", F.lead("__first").over(W.partitionBy(*keys).orderBy("__bin"))).select(*keys, "__bin", F.col("__next").alias("s"), F.lit(-1).alias("mask")).filter("s is not null")
-    both = binned.unionByName(nxt)
-    w = W.partitionBy(*keys, "__bin").orderBy("s")
-    return both.withColumn("e", F.lead("s").over(w) - 1).filter("mask >= 0 and e is not null").select(*keys, "s", "e", "mask")
+    """Each row's end: one before the next row's start; a key's last row has none and is left out."""
+    return _with_next(at, keys, "s", bin_bits).filter("__next is not null").select(*keys, "s", (F.col("__next") - 1).alias("e"), "mask")
 
 
 def coding_segments(cds: DataFrame, keys: list[str], bin_bits: int = 14) -> DataFrame:
-    """(keys, s, e, cs, ce, phase): runs of coding bases with the CDS row that was written last (by end, ord) there."""
-    rows = cds.filter("start <= end").select(*keys, "start", "end", F.coalesce(F.col("phase").try_cast("int"), F.lit(0)).alias("phase"), "ord")
-    pieces = rows.withColumn("bin", F.explode(F.sequence(F.shiftright("start", bin_bits), F.shiftright("end", bin_bits)))).withColumn(
-        "s", F.greatest("start", F.shiftleft("bin", bin_bits))
-    ).withColumn("e", F.least("end", F.shiftleft(F.col("bin") + 1, bin_bits) - 1))
-    pieces = pieces.groupBy(*keys, "bin", "s", "e").agg(F.max(F.struct("end", "ord", "start", "phase")).alias("top"))
-    cut = pieces.select(*keys, "bin", F.explode(F.array("s", F.col("e") + 1)).alias("s")).distinct()
-    runs = cut.withColumn("e", F.lead("s").over(W.partitionBy(*keys, "bin").orderBy("s")) - 1).filter("e is not null")
-    p = pieces.select(*keys, "bin", F.col("s").alias("ps"), F.col("e").alias("pe"), "top")
-    won = runs.join(p, [*keys, "bin"]).filter("ps <= s and e <= pe").groupBy(*keys, "s", "e").agg(F.max("top").alias("top"))
-    return won.select(*keys, "s", "e", F.col("top.start").alias("cs"), F.col("top.end").alias("ce"), F.col("top.phase").alias("phase"))
+    """(keys, s, e, cs, ce, phase): runs of coding bases with the CDS row that was written last (by end, ord) there.
+
+    Of the rows that have started, the one that ends last covers a base if any does; so the row written last at a base is
+    the prefix maximum of (end, ord) by start, and only rows that exceed all before them ever show.
+    """
+    rows = cds.filter("start <= end").select(*keys, F.col("start").alias("s"), F.struct("end", "ord", "start", F.coalesce(F.col("phase").try_cast("int"), F.lit(0)).alias("phase")).alias("top"))
+    first = rows.groupBy(*keys, "s").agg(F.max("top").alias("top"))
+    shown = prefix_max(first, keys, "s", "top", "__was", bin_bits, before=True).filter("__was is null or top > __was")
+    shown = _with_next(shown.select(*keys, "s", "top"), keys, "s", bin_bits)
+    last = F.least(F.col("top.end"), F.coalesce(F.col("__next") - 1, F.col("top.end")))
+    return shown.select(*keys, "s", last.alias("e"), F.col("top.start").alias("cs"), F.col("top.end").alias("ce"), F.col("top.phase").alias("phase"))
 
 
 def frame_at(position, cs, ce, phase, strand):
@@ -74,17 +79,17 @@ def state_counts(seg: DataFrame, keys: list[str]) -> DataFrame:
     return seg.withColumn("x", F.explode(F.array(*parts))).groupBy(*keys, F.col("x.state").alias("state")).agg(F.sum("x.n").alias("n"))
 
 
-def intron_states(introns: DataFrame, cds: DataFrame, transition: bool = False) -> DataFrame:
+def intron_states(introns: DataFrame, runs: DataFrame, transition: bool = False) -> DataFrame:
     """(place, intron_start, intron_end, state): I0..I2 by the frame of the coding base before the intron (after it on
-    -, one base further with transition); null where no CDS covers that base. Of several CDS the last by (end, ord)."""
+    -, one base further with transition); null where no CDS covers that base. runs: coding_segments of the place."""
     far = 1 if transition else 0
     probe = F.when(F.col("strand") == "+", F.col("intron_start") - 1 - far).otherwise(F.col("intron_end") + 1 + far)
-    at = introns.select(*PLACE, "intron_start", "intron_end").distinct().withColumn("probe", probe).withColumn("bin", F.shiftright("probe", 13))
-    c = cds.select(*PLACE, "start", "end", F.coalesce(F.col("phase").try_cast("int"), F.lit(0)).alias("phase"), "ord")
-    c = c.withColumn("bin", F.explode(F.sequence(F.shiftright("start", 13), F.shiftright("end", 13))))
-    hit = at.join(c, [*PLACE, "bin"], "left").withColumn("on", F.col("start").isNotNull() & F.col("probe").between(F.col("start"), F.col("end")))
-    top = hit.groupBy(*PLACE, "intron_start", "intron_end", "probe").agg(F.max(F.when(F.col("on"), F.struct("end", "ord", "start", "phase"))).alias("t"))
-    return top.select(*PLACE, "intron_start", "intron_end", F.concat(F.lit("I"), frame_at(F.col("probe"), F.col("t.start"), F.col("t.end"), F.col("t.phase"), F.col("strand"))).alias("state"))
+    at = introns.select(*PLACE, "intron_start", "intron_end").distinct().withColumn("p", probe)
+    # the last coding run that starts at or before the probe, if it reaches that far: runs don't overlap
+    runs = runs.select(*PLACE, F.col("s").alias("p"), F.struct("s", "e", "cs", "ce", "phase").alias("run"))
+    both = prefix_max(at.unionByName(runs, allowMissingColumns=True), PLACE, "p", "run", "t", 13, then=("intron_start",)).filter("intron_start is not null")
+    frame = frame_at(F.col("p"), F.col("t.cs"), F.col("t.ce"), F.col("t.phase"), F.col("strand"))
+    return both.select(*PLACE, "intron_start", "intron_end", F.when(F.col("t.e") >= F.col("p"), F.concat(F.lit("I"), frame)).alias("state"))
 
 
 def edge_states(cds: DataFrame, introns: DataFrame) -> DataFrame:

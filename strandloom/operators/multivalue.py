@@ -56,3 +56,21 @@ def pick_values(df: DataFrame, field: str, keys: list[str], prefix: str = "") ->
             yield pa.record_batch([*b.columns, *cols], names=[*b.schema.names, *names])
 
     return df.mapInArrow(run, schema)
+
+
+def attribute_pairs(df: DataFrame, id_col: str, field: str) -> DataFrame:
+    """(id_col, key, val): one row per key of the packed field with the value that is named last beside it; further values
+    without a key of their own are no pairs. id_col must be unique; null fields give nothing."""
+    schema = T.StructType([df.schema[id_col], T.StructField("key", T.StringType()), T.StructField("val", T.StringType())])
+
+    def run(batches):
+        for b in batches:
+            rows, _, key, val, _, named = split_values(*byte_rows(b.column(1)), mark=True)
+            last = {(r, k): v for r, k, v, own in zip(rows, key, val, named) if own}
+            at = list(last)
+            yield pa.record_batch(
+                [b.column(0).take(pa.array([r for r, _ in at], pa.int64())), pa.array([k for _, k in at], pa.binary()).cast(pa.string()), pa.array(list(last.values()), pa.binary()).cast(pa.string())],
+                names=[id_col, "key", "val"],
+            )
+
+    return df.select(id_col, F.col(field)).filter(F.col(field).isNotNull()).mapInArrow(run, schema)

@@ -29,6 +29,28 @@ def prefix_sum(df: DataFrame, keys: list[str], pos: str, sums: dict[str, str], b
     return rows.select(*df.columns, "__real", *[F.sum(f"__add_{n}").over(inside).alias(n) for n in sums]).filter("__real = 1").drop("__real")
 
 
+def prefix_max(df: DataFrame, keys: list[str], pos: str, value: str, name: str, bin_bits: int, before: bool = False, then: tuple[str, ...] = ()) -> DataFrame:
+    """df with the greatest value (any orderable type, nulls ignored) of the rows up to each row as name, in order of pos and
+    the columns in then; before: of the rows before it only. Two levels as in prefix_sum. As values that begin with pos
+    only grow, this also finds the last row of some kind."""
+    binned = df.withColumn("__bin", F.shiftright(pos, bin_bits))
+    over_bins = W.partitionBy(*keys).orderBy("__bin").rowsBetween(W.unboundedPreceding, -1)
+    carry = binned.groupBy(*keys, "__bin").agg(F.max(value).alias("__top"))
+    carry = carry.select(*keys, "__bin", F.lit(0).alias("__real"), F.max("__top").over(over_bins).alias(value)).filter(F.col(value).isNotNull())
+    rows = binned.withColumn("__real", F.lit(1)).unionByName(carry, allowMissingColumns=True)
+    inside = W.partitionBy(*keys, "__bin").orderBy("__real", pos, *then).rowsBetween(W.unboundedPreceding, -1 if before else 0)
+    return rows.withColumn(name, F.max(value).over(inside)).filter("__real = 1").drop("__bin", "__real")
+
+
+def with_previous(df: DataFrame, keys: list[str], pos: str, value: str, name: str, bin_bits: int) -> DataFrame:
+    """df (one row per key and position) with the value of the row before each one as name, null at a key's first row."""
+    binned = df.withColumn("__bin", F.shiftright(pos, bin_bits))
+    bins = binned.groupBy(*keys, "__bin").agg(F.max_by(value, pos).alias("__last"))
+    carry = bins.select(*keys, "__bin", F.lit(0).alias("__real"), F.lag("__last").over(W.partitionBy(*keys).orderBy("__bin")).alias(value)).filter(F.col(value).isNotNull())
+    rows = binned.withColumn("__real", F.lit(1)).unionByName(carry, allowMissingColumns=True)
+    return rows.withColumn(name, F.lag(value).over(W.partitionBy(*keys, "__bin").orderBy("__real", pos))).filter("__real = 1").drop("__bin", "__real")
+
+
 def coverage_segments(
     df: DataFrame, keys: list[str], start: str | Column, end: str | Column, max_gap: int | None = None, bin_bits: int = 14
 ) -> DataFrame:

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from strandloom.functions.sequence import inner_stop
 from strandloom.operators.multivalue import pick_values
 
 TX = ["species", "tx_id"]
@@ -51,6 +52,13 @@ def coding_transcripts(features: DataFrame, min_bases: int = 90) -> DataFrame:
     return features.filter("tx_id is not null and feature = 'CDS'").groupBy(*TX).agg(F.sum(width).alias("cds_len")).filter((F.col("cds_len") % 3 == 0) & (F.col("cds_len") >= min_bases))
 
 
+def sound(spliced: DataFrame, min_bases: int = 90) -> DataFrame:
+    """spliced transcripts (cds_seq) of whole codons, at least min_bases, and no stop before the last codon; a transcript
+    without known bases is not sound."""
+    n = F.length("cds_seq")
+    return spliced.filter((n % 3 == 0) & (n >= min_bases) & ~inner_stop(F.col("cds_seq")))
+
+
 def genes(features: DataFrame) -> DataFrame:
     """(species, gene_id, chrom, strand, gene_start, gene_end, n_tx): spans of the transcripts of each gene. A gene id
     on several chromosomes or strands becomes gene.chrom.strand there."""

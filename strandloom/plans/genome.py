@@ -9,8 +9,9 @@ from strandloom.functions import sequence as fs
 from strandloom.operators import chunks as ch
 from strandloom.operators import isoforms as iso
 from strandloom.operators import labels as lb
+from strandloom.operators import segments as sg
 from strandloom.operators import transcripts as tx
-from strandloom.operators.skew import skew_join
+from strandloom.operators.multivalue import attribute_pairs
 from strandloom.operators.sweep import coverage_segments
 from strandloom.operators.tree_agg import tree_aggregate
 from strandloom.plans.attributes_sql import first_value, with_pairs
@@ -309,13 +310,17 @@ def frame_edges(spark, d):
     return _edges(*_nodes(spark, d))
 
 
-def _graph(spark, d):
-    f, n = _nodes(spark, d)
+def _numbered(e, n):
+    """Edges (a, b) between transcripts as edges between the numbers of their nodes."""
     ids = n.select(*lb.PLACE, "tx_id", "node")
-    e = _edges(f, n)
     for side in ("a", "b"):
         e = e.join(ids.withColumnsRenamed({"tx_id": side, "node": f"n{side}"}), [*lb.PLACE, side])
-    return f, n, materialize(e.select(F.col("na").alias("a"), F.col("nb").alias("b")), "graph")
+    return materialize(e.select(F.col("na").alias("a"), F.col("nb").alias("b")), "graph")
+
+
+def _graph(spark, d):
+    f, n = _nodes(spark, d)
+    return f, n, _numbered(_edges(f, n), n)
 
 
 _COMPONENTS = f"""RECURSIVE {_EDGES}, w AS (SELECT x.ord AS a, y.ord AS b FROM ed JOIN u x ON (ed.species, ed.chrom, ed.strand, ed.a) = (x.species, x.chrom, x.strand, x.tx) JOIN u y ON (ed.species, ed.chrom, ed.strand, ed.b) = (y.species, y.chrom, y.strand, y.tx)),
@@ -385,10 +390,12 @@ def length_zscore(spark, d):
 # ---- bases under features
 
 
-def _with_bases(df, spark, d):
-    """df with the chromosome's known bases: sequences is small by its statistics, beyond that hot keys are salted."""
-    s = table(spark, d, "sequences").groupBy("species", "chrom").agg(F.min("seq").alias("seq")).filter("length(seq) > 0")
-    return skew_join(df, s, ["species", "chrom"], "inner")
+def _seqs(spark, d):
+    return table(spark, d, "sequences").groupBy("species", "chrom").agg(F.min("seq").alias("seq"))
+
+
+def _pieces(df, spark, d, start="start", end="end"):
+    return ch.base_pieces(df, _seqs(spark, d), start, end)
 
 
 _SEQ = "sq AS (SELECT species, chrom, min(seq) AS seq FROM sequences GROUP BY ALL HAVING length(min(seq)) > 0)"
@@ -398,9 +405,14 @@ _BASES = lambda s, e: f"substring(repeat(seq, CAST(ceil(({e} - {s} + 1) / length
 @query(f"""WITH {FEATURES_SQL}, {_SEQ}, b AS (SELECT cds.*, {_BASES('s', 'e')} AS x FROM cds JOIN sq USING (species, chrom))
        SELECT species, tx AS tx_id, chrom, strand, CASE WHEN strand = '-' THEN translate(reverse(string_agg(x, '' ORDER BY s, e, ord)), '{fs.IUPAC}', '{fs.IUPAC_COMPLEMENT}') ELSE string_agg(x, '' ORDER BY s, e, ord) END AS cds_seq FROM b GROUP BY species, tx, chrom, strand""")
 def cds_assembly(spark, d):
-    c = _with_bases(features(spark, d).filter("feature = 'CDS' and tx_id is not null"), spark, d).withColumn("x", fs.periodic_bases(F.col("seq"), F.col("start"), F.col("end"))).drop("seq")
-    pieces = F.array_sort(F.collect_list(F.struct("start", "end", "ord", "x")))
-    g = c.groupBy(*tx.TX, "chrom", "strand").agg(F.array_join(F.transform(pieces, lambda p: p["x"]), "").alias("s"))
+    return spliced(features(spark, d), spark, d)
+
+
+def spliced(f, spark, d):
+    """(species, tx_id, chrom, strand, cds_seq): the coding bases of each transcript on its strand."""
+    c = _pieces(f.filter("feature = 'CDS' and tx_id is not null"), spark, d)
+    pieces = F.array_sort(F.collect_list(F.struct("start", "end", "ord", "piece", "bases")))
+    g = c.groupBy(*tx.TX, "chrom", "strand").agg(F.array_join(F.transform(pieces, lambda p: p["bases"]), "").alias("s"))
     return g.select(*tx.TX, "chrom", "strand", F.when(F.col("strand") == "-", fs.reverse_complement_iupac(F.col("s"))).otherwise(F.col("s")).alias("cds_seq"))
 
 
@@ -409,16 +421,19 @@ def cds_assembly(spark, d):
        o AS (SELECT *, CASE WHEN strand = '-' THEN translate(reverse(x), 'ACGTacgt', 'TGCAtgca') ELSE x END AS y FROM b)
        SELECT species, tx AS tx_id, a AS intron_start, z AS intron_end, upper(left(y, 2) || right(y, 2)) AS pair, upper(left(y, 2) || right(y, 2)) IN ('GTAG', 'GCAG', 'ATAC') AS canonical FROM o""")
 def splice_sites(spark, d):
-    i = _with_bases(tx.introns(features(spark, d), min_gap=5), spark, d)
-    i = i.withColumn("pair", fs.splice_pair(fs.periodic_bases(F.col("seq"), F.col("intron_start"), F.col("intron_end")), F.col("strand")))
-    return i.select(*tx.TX, "intron_start", "intron_end", "pair", F.col("pair").isin(*fs.CANONICAL_PAIRS).alias("canonical"))
+    i = tx.introns(features(spark, d), min_gap=5)
+    ends = F.explode(F.array(F.struct(F.col("intron_start").alias("s"), (F.col("intron_start") + 1).alias("e")), F.struct((F.col("intron_end") - 1).alias("s"), F.col("intron_end").alias("e"))))
+    x = _pieces(i.withColumn("x", ends).select(*i.columns, "x.s", "x.e"), spark, d, "s", "e")
+    four = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("s", "piece", "bases"))), lambda p: p["bases"]), "")
+    pair = F.upper(F.when(F.col("strand") == "-", fs.reverse_complement(F.col("four"))).otherwise(F.col("four")))
+    return x.groupBy(*i.columns).agg(four.alias("four")).select(*tx.TX, "intron_start", "intron_end", pair.alias("pair"), pair.isin(*fs.CANONICAL_PAIRS).alias("canonical"))
 
 
 @query(f"""WITH {FEATURES_SQL}, {_SEQ}, b AS (SELECT species, {_BASES('s', 'e')} AS x FROM cds JOIN sq USING (species, chrom))
        SELECT species, CAST(sum(length(x)) AS BIGINT) AS n_bases, CAST(sum(length(x) - length(replace(x, 'N', ''))) AS BIGINT) AS n_n, CAST(sum(length(x) - length(regexp_replace(x, '[acgt]', '', 'g'))) AS BIGINT) AS n_masked FROM b GROUP BY species""")
 def cds_composition(spark, d):
-    x = F.col("x")
-    c = _with_bases(features(spark, d).filter("feature = 'CDS' and tx_id is not null"), spark, d).select("species", fs.periodic_bases(F.col("seq"), F.col("start"), F.col("end")).alias("x"))
+    x = F.col("bases")
+    c = _pieces(features(spark, d).filter("feature = 'CDS' and tx_id is not null"), spark, d).select("species", "bases")
     return c.groupBy("species").agg(F.sum(F.length(x)).alias("n_bases"), F.sum(fs.count_char(x, "N")).cast("bigint").alias("n_n"), F.sum(F.length(x) - F.length(F.regexp_replace(x, "[acgt]", ""))).cast("bigint").alias("n_masked"))
 
 
@@ -468,19 +483,22 @@ _STATES = f"""{_CODING}, pi AS (SELECT *, lag(e) OVER (PARTITION BY species, tx,
 @query(f"WITH {_STATES} SELECT species, chrom, strand, a AS intron_start, z AS intron_end, state FROM st")
 def label7_introns(spark, d):
     f = materialize(features(spark, d), "features")
-    return lb.intron_states(tx.introns(f), f.filter("feature = 'CDS' and tx_id is not null"))
+    return lb.intron_states(tx.introns(f), lb.coding_segments(f.filter("feature = 'CDS' and tx_id is not null"), lb.PLACE))
 
 
-@query(f"""WITH {_STATES}, en AS (SELECT species, chrom, strand, s, e, max(ord) AS ord FROM cds GROUP BY ALL),
+_EDGE_STATES = f"""en AS (SELECT species, chrom, strand, s, e, max(ord) AS ord FROM cds GROUP BY ALL),
        sd AS (SELECT species, chrom, strand, e, ord, s AS pos, -1 AS o, strand = '+' AS five FROM en UNION ALL SELECT species, chrom, strand, e, ord, e, 1, strand = '-' FROM en),
        tp AS (SELECT species, chrom, strand, pos, arg_max({{'o': o, 'five': five}}, (e, ord, CASE WHEN five THEN 0 ELSE 1 END)) AS t FROM sd GROUP BY ALL),
-       nr AS (SELECT species, chrom, strand, p, min(state) AS near FROM (SELECT *, a AS p FROM st UNION ALL SELECT *, z FROM st) WHERE state IS NOT NULL GROUP BY ALL)
-       SELECT tp.species, tp.chrom, tp.strand, pos AS position, CASE WHEN near IS NULL THEN CASE WHEN t.five THEN 'START' ELSE 'STOP' END WHEN t.five THEN 'IE' || near[2] ELSE 'EI' || near[2] END AS state
-       FROM tp LEFT JOIN nr ON tp.species = nr.species AND tp.chrom = nr.chrom AND tp.strand = nr.strand AND tp.pos + t.o = nr.p""")
+       nr AS (SELECT species, chrom, strand, p, min(state) AS near FROM (SELECT *, a AS p FROM st UNION ALL SELECT *, z FROM st) WHERE state IS NOT NULL GROUP BY ALL),
+       es AS (SELECT tp.species, tp.chrom, tp.strand, pos AS position, CASE WHEN near IS NULL THEN CASE WHEN t.five THEN 'START' ELSE 'STOP' END WHEN t.five THEN 'IE' || near[2] ELSE 'EI' || near[2] END AS state
+       FROM tp LEFT JOIN nr ON tp.species = nr.species AND tp.chrom = nr.chrom AND tp.strand = nr.strand AND tp.pos + t.o = nr.p)"""
+
+
+@query(f"WITH {_STATES}, {_EDGE_STATES} SELECT * FROM es")
 def label15_edges(spark, d):
     f = materialize(features(spark, d), "features")
     c = f.filter("feature = 'CDS' and tx_id is not null")
-    return lb.edge_states(c, lb.intron_states(tx.introns(f), c))
+    return lb.edge_states(c, lb.intron_states(tx.introns(f), lb.coding_segments(c, lb.PLACE)))
 
 
 @query(f"""WITH {_LAB}, q AS (SELECT *, pos - row_number() OVER (PARTITION BY species, chrom, strand ORDER BY pos) AS g FROM ba WHERE mask = 2),
@@ -500,21 +518,45 @@ def chunk_features(spark, d):
     return ch.chunk_features(features(spark, d), 9999)
 
 
+#: Places: both strands of every sequence, and those that features name only; whole chunks of each.
+_PLACES = f"""le AS (SELECT species, chrom, strand, greatest(coalesce(l, 0), coalesce(m, 0)) AS length FROM (SELECT species, chrom, strand, max(length) AS l FROM sequences, (VALUES ('+'), ('-')) v(strand) GROUP BY ALL) q
+       FULL JOIN (SELECT species, chrom, strand, max(e) AS m FROM f GROUP BY ALL) k USING (species, chrom, strand)), np AS (SELECT species, chrom, strand, length // {SIZE} AS n FROM le)"""
 _GRID = f"""{_LAB}, gr AS (SELECT species, chrom, strand, (pos - 1) // {SIZE} AS chunk_no, count(*) FILTER (mask & 2 <> 0) AS intron, count(*) FILTER (mask & 4 <> 0) AS coding, count(*) AS genic FROM ba GROUP BY ALL)"""
+#: All chunks: cl those with a genic base, cg the runs of all others.
+_RUNS = f"""{_PLACES}, cl AS (SELECT gr.* FROM gr JOIN np USING (species, chrom, strand) WHERE chunk_no < n),
+       ce AS (SELECT species, chrom, strand, chunk_no FROM cl UNION ALL SELECT species, chrom, strand, -1 FROM np UNION ALL SELECT species, chrom, strand, n FROM np),
+       cp AS (SELECT *, lag(chunk_no) OVER (PARTITION BY species, chrom, strand ORDER BY chunk_no) AS p FROM ce),
+       cg AS (SELECT species, chrom, strand, p + 1 AS chunk_no, chunk_no - p - 1 AS n_chunks FROM cp WHERE chunk_no - p > 1)"""
+
+
+def places(spark, d, f) -> DataFrame:
+    """(place, length): both strands of every sequence with its length, and places that features alone name."""
+    seq = table(spark, d, "sequences").groupBy("species", "chrom").agg(F.max("length").alias("l")).withColumn("strand", F.explode(F.array(F.lit("+"), F.lit("-"))))
+    named = f.groupBy(*lb.PLACE).agg(F.max("end").alias("m"))
+    zero = F.lit(0).cast("bigint")
+    return seq.join(named, lb.PLACE, "full_outer").select(*lb.PLACE, F.greatest(F.coalesce("l", zero), F.coalesce("m", zero)).alias("length"))
+
+
+def _all_chunks(listed, spark, d, f):
+    """Chunks with genic bases, and runs of those without (counts 0)."""
+    return ch.complete_chunks(listed, places(spark, d, f).withColumn("n", F.floor(F.col("length") / SIZE)), lb.PLACE).na.fill(0, ["intron", "coding", "genic"])
 
 
 def _grid(spark, d):
-    return ch.masked_bases(_segments4(features(spark, d)), lb.PLACE, SIZE, {"intron": 2, "coding": 4, "genic": 14})
+    f = materialize(features(spark, d), "features")
+    return _all_chunks(ch.masked_bases(lb.cover_segments(_labelled(f), lb.PLACE, {"intron": 2, "CDS": 4, "UTR": 8}), lb.PLACE, SIZE, {"intron": 2, "coding": 4, "genic": 14}), spark, d, f)
 
 
-@query(f"""WITH {_GRID} SELECT species, chrom, strand, chunk_no, CASE WHEN genic = 0 THEN 'intergenic' WHEN intron = {SIZE} AND coding = 0 THEN 'intron' WHEN coding >= 100 THEN 'cds' ELSE 'non' END AS label FROM gr""")
+@query(f"""WITH {_GRID}, {_RUNS} SELECT species, chrom, strand, chunk_no, 1 AS n_chunks, CASE WHEN intron = {SIZE} AND coding = 0 THEN 'intron' WHEN coding >= 100 THEN 'cds' ELSE 'non' END AS label FROM cl
+       UNION ALL SELECT *, 'intergenic' FROM cg""")
 def chunk_class(spark, d):
-    return _grid(spark, d).select(*lb.PLACE, "chunk_no", ch.chunk_class(F.col("intron"), F.col("coding"), F.col("genic"), SIZE).alias("label"))
+    return _grid(spark, d).select(*lb.PLACE, "chunk_no", "n_chunks", ch.chunk_class(F.col("intron"), F.col("coding"), F.col("genic"), SIZE).alias("label"))
 
 
-@query(f"""WITH {_GRID}, x AS (SELECT *, genic * 100 // {SIZE} AS lo, (genic * 100) % {SIZE} AS re FROM gr) SELECT species, chrom, strand, chunk_no, (lo + CASE WHEN 2 * re > {SIZE} OR (2 * re = {SIZE} AND lo % 2 = 1) THEN 1 ELSE 0 END) / 100 AS fraction FROM x""")
+@query(f"""WITH {_GRID}, {_RUNS}, x AS (SELECT *, genic * 100 // {SIZE} AS lo, (genic * 100) % {SIZE} AS re FROM cl) SELECT species, chrom, strand, chunk_no, 1 AS n_chunks, (lo + CASE WHEN 2 * re > {SIZE} OR (2 * re = {SIZE} AND lo % 2 = 1) THEN 1 ELSE 0 END) / 100 AS fraction FROM x
+       UNION ALL SELECT *, 0.0::DOUBLE FROM cg""")
 def chunk_fraction(spark, d):
-    return _grid(spark, d).select(*lb.PLACE, "chunk_no", ch.genic_fraction(F.col("genic"), SIZE).alias("fraction"))
+    return _grid(spark, d).select(*lb.PLACE, "chunk_no", "n_chunks", ch.genic_fraction(F.col("genic"), SIZE).alias("fraction"))
 
 
 _CHANNELS = ["exon", "gene", "mRNA", "CDS", "transcript", "enhancer"]
@@ -604,12 +646,11 @@ def intergenic_samples(spark, d):
     return ch.sampled_windows(g.select(*lb.PLACE, F.col("seg_start").alias("s"), F.col("seg_end").alias("e")), 2000, 50, ["species"])
 
 
-@query("""WITH p AS (SELECT feat_id, trim(u) AS piece, k FROM (SELECT feat_id, unnest(string_split(attributes, ';')) AS u, generate_subscripts(string_split(attributes, ';'), 1) AS k FROM gff_features WHERE attributes IS NOT NULL)),
-       q AS (SELECT feat_id, k, piece[1:strpos(piece, '=') - 1] AS key, piece[strpos(piece, '=') + 1:] AS val FROM p WHERE strpos(piece, '=') > 0)
-       SELECT feat_id, key, arg_max(val, k) AS val FROM q WHERE key IN ('ID', 'Parent', 'Name', 'biotype') GROUP BY ALL""")
+@query(f"""WITH {with_pairs("gff_features", "pz")}, u AS (SELECT feat_id, unnest(ps) AS x, generate_subscripts(ps, 1) AS i FROM pz)
+       SELECT feat_id, x.k AS key, arg_max(x.v, i) AS val FROM u WHERE x.k <> '' AND x.v <> '' GROUP BY ALL""")
 def attribute_maps(spark, d):
-    g = table(spark, d, "gff_features").filter("attributes is not null")
-    return g.select("feat_id", F.explode(fs.attribute_map(F.col("attributes"))).alias("key", "val")).filter(F.col("key").isin("ID", "Parent", "Name", "biotype"))
+    """All pairs of each attribute field; of equal keys the last named one wins. Further values of a key are no pairs."""
+    return attribute_pairs(table(spark, d, "gff_features"), "feat_id", "attributes")
 
 
 @query(f"""WITH {FEATURES_SQL}, n AS (SELECT species, source, tx, min(ord) AS ord FROM cds GROUP BY ALL), d AS (SELECT *, row_number() OVER (PARTITION BY species, tx ORDER BY ord) AS k FROM n)
@@ -632,42 +673,101 @@ def decided_components(spark, d):
     return iso.component_of(kept, left)
 
 
-@query(f"""WITH {FEATURES_SQL}, c AS (SELECT *, unnest(generate_series((s - 1) // 396, (e - 1) // 396)) AS k FROM f WHERE feature = 'CDS'),
-       g AS (SELECT species, chrom, i AS k, substring(seq, CAST(i * 99 + 1 AS INT), 99) AS seq FROM (SELECT *, unnest(generate_series(0, length(seq) // 99 - 1)) AS i FROM sequences WHERE length(seq) >= 99))
-       SELECT g.species, g.chrom, g.k AS chunk_no, g.seq, count(c.ord) AS n_cds FROM g LEFT JOIN c ON c.species = g.species AND c.chrom = g.chrom AND c.k = g.k GROUP BY ALL""")
+_SEGMENTS = f"""{_STATES}, {_PLACES.split(", np AS")[0]}, {_EDGE_STATES},
+       ib AS (SELECT species, chrom, strand, pos, bit_or(CASE state WHEN 'I0' THEN 1 WHEN 'I1' THEN 2 ELSE 4 END) AS im FROM (SELECT DISTINCT species, chrom, strand, state, unnest(generate_series(a, z)) AS pos FROM st WHERE state IS NOT NULL) GROUP BY ALL),
+       eb AS (SELECT species, chrom, strand, pos, ((fr - CASE strand WHEN '-' THEN -pos ELSE pos END) % 3 + 3) % 3 AS still FROM fr),
+       ed AS (SELECT species, chrom, strand, position AS pos, state AS edge FROM es),
+       al AS (SELECT species, chrom, strand, pos, coalesce(im, 0) AS im, still, edge FROM eb FULL JOIN ib USING (species, chrom, strand, pos) FULL JOIN ed USING (species, chrom, strand, pos)),
+       nu AS (SELECT *, pos - row_number() OVER (PARTITION BY species, chrom, strand, im, still, edge ORDER BY pos) AS g FROM al),
+       ru AS (SELECT species, chrom, strand, im, still, edge, g, min(pos) AS s, max(pos) AS e FROM nu GROUP BY ALL)"""
+_STATE_AT = lambda p: f"""coalesce(edge, CASE WHEN still IS NULL THEN substring(CASE WHEN im & 1 > 0 THEN '+I0' ELSE '' END || CASE WHEN im & 2 > 0 THEN '+I1' ELSE '' END || CASE WHEN im & 4 > 0 THEN '+I2' ELSE '' END, 2)
+       ELSE 'E' || ((still + CASE strand WHEN '-' THEN -{p} ELSE {p} END) % 3 + 3) % 3 || CASE WHEN im & 1 > 0 THEN '+I0' ELSE '' END || CASE WHEN im & 2 > 0 THEN '+I1' ELSE '' END || CASE WHEN im & 4 > 0 THEN '+I2' ELSE '' END END)"""
+
+
+@query(f"""WITH {_SEGMENTS}, lp AS (SELECT species, chrom, strand, s, e, lag(e) OVER (PARTITION BY species, chrom, strand ORDER BY s) AS pe FROM ru)
+       SELECT species, chrom, strand, s, e, {_STATE_AT('s')} AS state FROM ru
+       UNION ALL SELECT species, chrom, strand, coalesce(pe, 0) + 1, s - 1, 'IR' FROM lp WHERE s - coalesce(pe, 0) > 1
+       UNION ALL SELECT species, chrom, strand, coalesce(m, 0) + 1, length, 'IR' FROM le LEFT JOIN (SELECT species, chrom, strand, max(e) AS m FROM ru GROUP BY ALL) USING (species, chrom, strand) WHERE length > coalesce(m, 0)""")
+def label_segments(spark, d):
+    """The 15 states of every base of every place, as longest runs; of a coding run the state at its first base."""
+    f = materialize(features(spark, d), "features")
+    s = sg.state_segments(f, places(spark, d, f))
+    return s.select(*lb.PLACE, "s", "e", sg.state_at(F.col("mask"), F.col("s"), F.col("strand")).alias("state"))
+
+
+_PLACED = """ck AS (SELECT chunk_id, c.species, c.chrom, c."begin", c."end", c.strand AS side, c.seq, CASE WHEN c.strand = 'backward' THEN '-' ELSE '+' END AS strand,
+              CASE WHEN c.strand = 'backward' THEN length - c."end" ELSE c."begin" END AS fb, CASE WHEN c.strand = 'backward' THEN length - c."begin" ELSE c."end" END AS fe
+              FROM chunks c LEFT JOIN (SELECT species, chrom, max(length) AS length FROM sequences GROUP BY ALL) q ON q.species = c.species AND q.chrom = c.chrom)"""
+
+
+@query(f"""WITH {_SEGMENTS}, {_PLACED}, jo AS (SELECT chunk_id, ck.strand, fb, fe, greatest(s, fb + 1) AS ps, least(e, fe) AS pe, im, still, edge FROM ck JOIN ru ON ck.species = ru.species AND ck.chrom = ru.chrom AND ck.strand = ru.strand AND s <= fe AND e > fb WHERE fb < fe),
+       pc AS (SELECT chunk_id, CASE strand WHEN '-' THEN fe - pe ELSE ps - fb - 1 END AS b, pe - ps + 1 AS w, {_STATE_AT("CASE strand WHEN '-' THEN pe ELSE ps END")} AS state FROM jo),
+       ag AS (SELECT chunk_id, string_agg(b || '-' || (b + w) || ':' || state, ',' ORDER BY b) AS labels FROM pc GROUP BY chunk_id)
+       SELECT chunk_id, species, chrom, "begin", "end", side AS strand, seq, CASE WHEN species IS NOT NULL AND chrom IS NOT NULL AND fb < fe THEN coalesce(labels, '') END AS labels FROM ck LEFT JOIN ag USING (chunk_id)""")
 def chunk_records(spark, d):
-    """Chunk sequences beside the annotation of the chunk of that number (the record that training reads)."""
-    c = ch.on_grid(features(spark, d).filter("feature = 'CDS'"), 396).groupBy("species", "chrom", "chunk_no").agg(F.count("*").alias("n_cds"))
-    g = ch.fixed_chunks(table(spark, d, "sequences"), 99).withColumn("chunk_no", F.expr("begin div 99"))
-    return g.join(c, ["species", "chrom", "chunk_no"], "left").select("species", "chrom", "chunk_no", "seq", F.coalesce("n_cds", F.lit(0).cast("bigint")).alias("n_cds"))
+    """Each chunk's bases with the states of those very bases (the record that training reads): 'begin-end:state' in the
+    chunk's own direction, '' where all is intergenic, null where its place is unknown."""
+    f = materialize(features(spark, d), "features")
+    c, seq = table(spark, d, "chunks"), table(spark, d, "sequences")
+    strand = F.when(F.col("strand") == "backward", "-").otherwise("+")
+    placed = materialize(ch.forward_intervals(c, seq).join(c.select("chunk_id", strand.alias("strand")), "chunk_id"), "placed")
+    seg = sg.state_segments(f, places(spark, d, f))
+    parts = sg.chunk_states(placed, seg).groupBy("chunk_id").agg(F.array_sort(F.collect_list(F.struct("begin", "end", "state"))).alias("ps"))
+    label = F.array_join(F.transform("ps", lambda p: F.concat(p["begin"].cast("string"), F.lit("-"), p["end"].cast("string"), F.lit(":"), p["state"])), ",")
+    labels = placed.join(parts, "chunk_id", "left").select("chunk_id", F.when(F.col("fb").isNotNull(), F.coalesce(label, F.lit(""))).alias("labels"))
+    return c.select("chunk_id", "species", "chrom", "begin", "end", "strand", "seq").join(labels, "chunk_id")
 
 
 # ---- whole flow: annotation -> longest isoforms -> labels -> chunk classes
 
-_LONGEST = f"""{_COMPONENTS}, lo AS (SELECT component, arg_max(node, (cds_len, -node)) AS node FROM co JOIN u ON u.ord = co.node GROUP BY component),
-       kept AS (SELECT u.species, u.chrom, u.strand, u.tx FROM lo JOIN u ON u.ord = lo.node WHERE u.cds_len >= 90),
+_CDS = "cds AS (SELECT * FROM f WHERE feature = 'CDS' AND tx IS NOT NULL)"
+#: Coding rows of sound transcripts only: whole codons, at least 90 bases, no stop before the last codon.
+_SOUND = f"""ca AS (SELECT * FROM f WHERE feature = 'CDS' AND tx IS NOT NULL), {_SEQ},
+       sp AS (SELECT ca.species, tx, chrom, strand, string_agg({_BASES('s', 'e')}, '' ORDER BY s, e, ord) AS x, CAST(sum(e - s + 1) AS BIGINT) AS n FROM ca JOIN sq USING (species, chrom) GROUP BY ca.species, tx, chrom, strand),
+       sd0 AS (SELECT species, tx, chrom, strand, n, CASE WHEN strand = '-' THEN translate(reverse(x), '{fs.IUPAC}', '{fs.IUPAC_COMPLEMENT}') ELSE x END AS x FROM sp WHERE n % 3 = 0 AND n >= 90),
+       so AS (SELECT species, tx, chrom, strand FROM sd0 WHERE len(list_filter(generate_series(1, length(x) - 5, 3), lambda i: upper(substring(x, i, 3)) IN ('TAA', 'TAG', 'TGA', 'TAR', 'TRA'))) = 0),
+       cds AS (SELECT ca.* FROM ca JOIN so ON (ca.species, ca.tx, ca.chrom, ca.strand) = (so.species, so.tx, so.chrom, so.strand))"""
+_LONGEST = f"""{_COMPONENTS.replace(_CDS, _SOUND)}, lo AS (SELECT component, arg_max(node, (cds_len, -node)) AS node FROM co JOIN u ON u.ord = co.node GROUP BY component),
+       kept AS (SELECT u.species, u.chrom, u.strand, u.tx FROM lo JOIN u ON u.ord = lo.node),
        kc AS (SELECT cds.* FROM cds JOIN kept ON (cds.species, cds.chrom, cds.strand, cds.tx) = (kept.species, kept.chrom, kept.strand, kept.tx))"""
 
 
+@query(f"WITH {FEATURES_SQL.replace(_CDS, _SOUND)} SELECT species, tx AS tx_id, chrom, strand FROM so")
+def sound_transcripts(spark, d):
+    f = features(spark, d)
+    return tx.sound(spliced(f, spark, d)).select(*tx.TX, "chrom", "strand")
+
+
 def longest_features(spark, d) -> DataFrame:
-    """Coding rows of the longest isoform of each component, of at least 90 bases."""
-    f, n, e = _graph(spark, d)
-    best = iso.longest_isoforms(iso.component_of(n.select("node", "cds_len"), e)).filter("cds_len >= 90")
+    """Coding rows of the longest isoform of each component; transcripts that are not sound never enter the graph."""
+    f = materialize(features(spark, d), "features")
+    sound = materialize(tx.sound(spliced(f, spark, d)).select(*lb.PLACE, "tx_id"), "sound")
+    coding = materialize(f.filter("feature = 'CDS' and tx_id is not null").join(sound, [*lb.PLACE, "tx_id"], "left_semi"), "coding")
+    n = materialize(tx.distinct_transcripts(tx.cds_chains(coding)).withColumnRenamed("ord", "node"), "nodes")
+    e = _numbered(_edges(coding, n), n)
+    best = iso.longest_isoforms(iso.component_of(n.select("node", "cds_len"), e))
     kept = n.join(best.select("node"), "node", "left_semi").select(*lb.PLACE, "tx_id")
-    return materialize(f.filter("feature = 'CDS' and tx_id is not null").join(kept, [*lb.PLACE, "tx_id"], "left_semi"), "isoforms")
+    return materialize(coding.join(kept, [*lb.PLACE, "tx_id"], "left_semi"), "isoforms")
+
+
+@query(f"WITH {_LONGEST} SELECT species, chrom, strand, tx AS tx_id, ord FROM kc")
+def longest_coding_rows(spark, d):
+    return longest_features(spark, d).select(*lb.PLACE, "tx_id", "ord")
 
 
 @query(f"""WITH {_LONGEST}, pi AS (SELECT *, lag(e) OVER (PARTITION BY species, tx, chrom, strand ORDER BY s, e, ord) AS pe FROM kc),
        lab AS (SELECT species, chrom, strand, s, e, 4 AS bit FROM kc UNION ALL SELECT species, chrom, strand, pe + 1, s - 1, 2 FROM pi WHERE s - pe >= 3),
        ba AS (SELECT species, chrom, strand, pos, bit_or(bit) AS mask FROM (SELECT DISTINCT species, chrom, strand, bit, unnest(generate_series(s, e)) AS pos FROM lab) GROUP BY ALL),
-       gr AS (SELECT species, chrom, strand, (pos - 1) // {SIZE} AS chunk_no, count(*) FILTER (mask & 2 <> 0) AS intron, count(*) FILTER (mask & 4 <> 0) AS coding, count(*) AS genic FROM ba GROUP BY ALL)
-       SELECT species, chrom, strand, chunk_no, intron, coding, CASE WHEN genic = 0 THEN 'intergenic' WHEN intron = {SIZE} AND coding = 0 THEN 'intron' WHEN coding >= 100 THEN 'cds' ELSE 'non' END AS label FROM gr""")
+       gr AS (SELECT species, chrom, strand, (pos - 1) // {SIZE} AS chunk_no, count(*) FILTER (mask & 2 <> 0) AS intron, count(*) FILTER (mask & 4 <> 0) AS coding, count(*) AS genic FROM ba GROUP BY ALL),
+       {_RUNS}
+       SELECT species, chrom, strand, chunk_no, 1 AS n_chunks, intron, coding, CASE WHEN intron = {SIZE} AND coding = 0 THEN 'intron' WHEN coding >= 100 THEN 'cds' ELSE 'non' END AS label FROM cl
+       UNION ALL SELECT species, chrom, strand, chunk_no, n_chunks, 0, 0, 'intergenic' FROM cg""")
 def isoform_chunks(spark, d):
     f = longest_features(spark, d)
     i = tx.introns(f).select(*lb.PLACE, F.col("intron_start").alias("start"), F.col("intron_end").alias("end"), F.lit("intron").alias("label"))
     seg = lb.cover_segments(f.select(*lb.PLACE, "start", "end", F.lit("CDS").alias("label")).unionByName(i), lb.PLACE, {"intron": 2, "CDS": 4})
-    g = ch.masked_bases(seg, lb.PLACE, SIZE, {"intron": 2, "coding": 4, "genic": 6})
-    return g.select(*lb.PLACE, "chunk_no", "intron", "coding", ch.chunk_class(F.col("intron"), F.col("coding"), F.col("genic"), SIZE).alias("label"))
+    g = _all_chunks(ch.masked_bases(seg, lb.PLACE, SIZE, {"intron": 2, "coding": 4, "genic": 6}), spark, d, features(spark, d))
+    return g.select(*lb.PLACE, "chunk_no", "n_chunks", "intron", "coding", ch.chunk_class(F.col("intron"), F.col("coding"), F.col("genic"), SIZE).alias("label"))
 
 
 @query(f"""WITH {FEATURES_SQL}, c AS (SELECT species, chrom, CASE feature WHEN 'CDS' THEN 'CDS' WHEN 'exon' THEN 'exon' ELSE 'gene' END AS channel, strand, s, e FROM f WHERE feature IN ('CDS', 'exon', 'gene')),
@@ -693,6 +793,7 @@ def site_rows(spark, d):
     right = (F.col("intron_end") - 1, F.col("intron_end"))
     minus = F.col("strand") == "-"
     both = F.explode(F.array(*[F.struct(F.when(minus, a[0]).otherwise(b[0]).alias("s"), F.when(minus, a[1]).otherwise(b[1]).alias("e"), F.lit(k).alias("kind")) for k, a, b in (("donor", right, left), ("acceptor", left, right))]))
-    x = _with_bases(i.withColumn("x", both), spark, d)
-    bases = fs.periodic_bases(F.col("seq"), F.col("x.s"), F.col("x.e"))
-    return x.select(*lb.PLACE, F.col("x.s").alias("site_start"), F.col("x.e").alias("site_end"), F.upper(F.when(minus, fs.reverse_complement(bases)).otherwise(bases)).alias("site_seq"), F.col("x.kind").alias("kind"))
+    x = _pieces(i.withColumn("x", both).select(*lb.PLACE, "intron_start", "intron_end", "x.s", "x.e", "x.kind"), spark, d, "s", "e")
+    two = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("piece", "bases"))), lambda p: p["bases"]), "").alias("two")
+    x = x.groupBy(*lb.PLACE, "intron_start", "intron_end", "s", "e", "kind").agg(two)
+    return x.select(*lb.PLACE, F.col("s").alias("site_start"), F.col("e").alias("site_end"), F.upper(F.when(minus, fs.reverse_complement(F.col("two"))).otherwise(F.col("two"))).alias("site_seq"), "kind")

@@ -103,7 +103,7 @@ def test_labels(spark):
     got = minus.withColumn("p", F.explode(F.sequence("s", "e"))).select("p", lb.frame_at(F.col("p"), F.col("cs"), F.col("ce"), F.col("phase"), F.col("strand")).alias("f"))
     assert [r.f for r in got.orderBy("p").collect()] == [2, 1, 0, 2, 1, 0]
     assert {r.state: r.n for r in lb.state_counts(seg, lb.PLACE).collect()} == {"E0": 4, "E1": 4, "E2": 4}
-    states = lb.intron_states(tx.introns(f), f)
+    states = lb.intron_states(tx.introns(f), lb.coding_segments(f, lb.PLACE))
     assert rows(states.select("intron_start", "intron_end", "state")) == [(17, 20, "I2")]
     assert rows(lb.edge_states(f, states).select("position", "state")) == [(11, "START"), (16, "EI2"), (21, "IE2"), (26, "STOP")]
     assert lb.cover_segments(feats(spark, (1, 2)).withColumn("label", F.lit("CDS")).limit(0), lb.PLACE, {"CDS": 4}).collect() == []
