@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strandloom.functions.attributes import _TRANS, JUNK, UNCLOSED, _classes, broken_quoting, byte_rows, split_values
@@ -106,6 +106,16 @@ def _steps():
 _KIND, _STEP, _READ = _steps()
 
 
+def _narrow(cost: np.ndarray) -> np.ndarray:
+    """Costs in 32 bits, for texts of fewer than SHORT tabs and marks."""
+    tabs, marks, ill = cost >> 40, (cost >> 20) & (_MARK - 1), cost & (_MARK - 1)
+    return np.where(cost >= _BIG, 1 << 30, (tabs << 20) | (marks << 10) | ill).astype(np.int32)
+
+
+SHORT = 500
+_SETS = {True: (_narrow(_STEP), _narrow(_INSERT), np.int32(1 << 30)), False: (_STEP, _INSERT, np.int64(_BIG))}
+
+
 def cheapest_parses(texts: list[bytes], ninth: bool = False) -> list[tuple[int, list[str]]]:
     """(number of edits, edits) of the parse of least cost of each line, or (ninth) of each text as a ninth column.
 
@@ -115,26 +125,32 @@ def cheapest_parses(texts: list[bytes], ninth: bool = False) -> list[tuple[int,
     base = _NINTH if ninth else 0
     n, width = len(texts), _N - base
     length = np.array([len(t) for t in texts], np.int64)
-    order = np.argsort(-length, kind="stable")
+    short = np.array([sum(t.count(bytes([b])) for b in (9, *_DROPS)) < SHORT for t in texts], bool)
+    order = np.lexsort((-length, short))
     out: list = [None] * n
     lo = 0
     while lo < n:  # texts of about one length go together, as many as their pointers may take up memory
         hi = lo + max(1, (1 << 17) // max(1, int(length[order[lo]])))
         group = order[lo:hi]
-        lo = hi
+        group = group[short[group] == short[group[0]]]
+        lo += len(group)
+        steps, insert, big = _SETS[bool(short[group[0]])]
+        steps = [np.ascontiguousarray(x[base:, base:]) for x in steps]
         size, raw = length[group], np.frombuffer(b"".join(texts[i] for i in group), np.uint8)
         begin = np.cumsum(size) - size
-        cost = np.full((len(group), width), _BIG, np.int64)
+        cost = np.full((len(group), width), big)
         cost[:, 0] = 0
         back = np.zeros((int(size[0]), len(group), width), np.uint8)
-        step = np.ascontiguousarray(_STEP[:, base:, base:])
         for t in range(int(size[0])):
             live = int(np.searchsorted(-size, -t, side="left"))
-            total = cost[:live, None, :] + step[_KIND[raw[begin[:live] + t]]]
-            by = total.argmin(axis=2)
-            back[t, :live] = by
-            cost[:live] = np.minimum(np.take_along_axis(total, by[:, :, None], axis=2)[:, :, 0], _BIG)
-        end = cost[:, :, None] + _INSERT[None, base:, _FINAL]
+            kind = _KIND[raw[begin[:live] + t]]
+            for k in np.unique(kind):
+                rows = np.flatnonzero(kind == k)
+                total = cost[rows, None, :] + steps[k]
+                by = total.argmin(axis=2)
+                back[t, rows] = by
+                cost[rows] = np.minimum(np.take_along_axis(total, by[:, :, None], axis=2)[:, :, 0], big)
+        end = cost[:, :, None] + insert[None, base:, _FINAL]
         for g, i in enumerate(group):
             s, f = np.unravel_index(end[g].argmin(), end[g].shape)
             edits = [(int(size[g]), "insert", b) for b in _path(base + s, _FINAL[f])]
@@ -161,30 +177,33 @@ def _path(s: int, t: int) -> list[int]:
     return put
 
 
-def _tested(df: DataFrame, id_col: str, line: str) -> DataFrame:
-    """(id, line, n, ninth, fails, first): by built-in expressions the line without its carriage return, its number of
-    fields, the ninth, the column whose value fails (chr, start, or null), and whether the ninth begins with a key and
-    a value. Null, blank and comment lines are left out."""
-    text = F.regexp_replace(F.col(line), r"\r\z", "")
-    rows = df.select(F.col(id_col).alias("id"), text.alias("line")).filter(
-        F.col("line").rlike(r"[^ \t\n\r\x0b\f]") & ~F.col("line").startswith("#") & ~F.col("line").startswith("track")
-    )
-    rows = rows.withColumn("f", F.split("line", "\t", -1))
-    at = lambda k: F.try_element_at("f", F.lit(k))
-    number = lambda k: F.coalesce(at(k).rlike(r"^[0-9]+\z") & at(k).try_cast("bigint").isNotNull(), F.lit(False))
-    chr_ok = F.coalesce(at(1).rlike(r"^[A-Za-z0-9_.\-]*[A-Za-z0-9][A-Za-z0-9_.\-]*\z"), F.lit(False))
-    start_ok = F.when(number(4) & number(5), (at(4).try_cast("bigint") >= 1) & (at(4).try_cast("bigint") <= at(5).try_cast("bigint"))).otherwise(F.lit(False))
-    pair = at(9).rlike(r"""^ *[^;,|= "'\t]+( *= *| +)(["'][^"'\\]|[^;,|= "'\t])""")
-    return rows.select("id", "line", F.size("f").alias("n"), at(9).alias("ninth"), F.when(~chr_ok, "chr").when(~start_ok, "start").alias("fails"), F.coalesce(pair, F.lit(False)).alias("first"))
+#: A line that is valid but for the order of start and end: nine fields, good values, no quote that would need a parse.
+#: Possessive throughout, so that no line makes it go back far.
+_PLAIN = r"""^(?!track)(?=[_.\-]*+[A-Za-z0-9])[A-Za-z0-9_.\-]++\t[^\t]*+\t[^\t]*+\t[0-9]{1,18}+\t[0-9]{1,18}+\t[^\t]*+\t[^\t]*+\t[^\t]*+\t(?:\.| *+[^;,|= "'\t]++(?: *+= *+| ++)[^;,|= "'\t\r][^"'\t]*+)\r?\z"""
 
 
-def _plain() -> Column:
-    """Rows of _tested that are valid beyond doubt: nine fields, good values, no quote that would need a parse."""
-    return (F.col("n") == 9) & F.col("fails").isNull() & ~F.col("ninth").rlike("[\"']") & (F.col("first") | (F.col("ninth") == "."))
+def _split_lines(df: DataFrame, id_col: str, line: str) -> tuple[DataFrame, DataFrame]:
+    """(id, line) of the lines that built-in expressions find valid, and of the others with n, the number of fields, ninth,
+    the ninth of them, fails, the column whose value fails (chr, start, or null), and first, whether the ninth begins with
+    a key and a value. Null, blank and comment lines are left out; lines come without their carriage return."""
+    rows = df.select(F.col(id_col).alias("id"), F.col(line).alias("line")).filter("line is not null")
+    f = F.split("line", "\t", 6)
+    start, end = (F.try_element_at(f, F.lit(k)).try_cast("bigint") for k in (4, 5))
+    plain = F.col("line").rlike(_PLAIN) & F.coalesce((start >= 1) & (start <= end), F.lit(False))
+    bare = F.regexp_replace("line", r"\r\z", "").alias("line")
+    rest = rows.filter(~plain & F.col("line").rlike(r"[^ \t\n\r\x0b\f]") & ~F.col("line").startswith("#") & ~F.col("line").startswith("track"))
+    rest = rest.select("id", bare).withColumn("f", F.split("line", "\t", -1))
+    at = lambda k: F.try_element_at("f", F.lit(k))
+    number = lambda k: F.coalesce(at(k).rlike(r"^[0-9]++\z"), F.lit(False))
+    chr_ok = F.coalesce(at(1).rlike(r"^(?=[_.\-]*+[A-Za-z0-9])[A-Za-z0-9_.\-]++\z"), F.lit(False))
+    start_ok = F.coalesce(number(4) & number(5) & (at(4).try_cast("bigint") >= 1) & (at(4).try_cast("bigint") <= at(5).try_cast("bigint")), F.lit(False))
+    pair = at(9).rlike(r"""^ *+[^;,|= "'\t]++( *+= *+| ++)(["'][^"'\\]|[^;,|= "'\t])""")
+    rest = rest.select("id", "line", F.size("f").alias("n"), at(9).alias("ninth"), F.when(~chr_ok, "chr").when(~start_ok, "start").alias("fails"), F.coalesce(pair, F.lit(False)).alias("first"))
+    return rows.filter(plain).select("id", bare), rest
 
 
 def _judge(b: pa.RecordBatch) -> list:
-    """Per row of _tested: None (valid), or (reason, cost, edits)."""
+    """Per row of lines in doubt: None (valid), or (reason, cost, edits)."""
     n, fails = b.column(2).to_numpy(), b.column(4).to_pylist()
     verdict: list = [None] * b.num_rows
     nine = np.flatnonzero(n == 9)
@@ -227,7 +246,7 @@ def rejected_lines(df: DataFrame, id_col: str = "line_id", line: str = "line") -
                 names=[id_col, "reason", "cost", "edits"],
             )
 
-    return _tested(df, id_col, line).filter(~_plain()).mapInArrow(run, f"`{id_col}` {kind}, reason string, cost int, edits string")
+    return _split_lines(df, id_col, line)[1].mapInArrow(run, f"`{id_col}` {kind}, reason string, cost int, edits string")
 
 
 def valid_lines(df: DataFrame, id_col: str = "line_id", line: str = "line") -> DataFrame:
@@ -239,8 +258,8 @@ def valid_lines(df: DataFrame, id_col: str = "line_id", line: str = "line") -> D
             at = pa.array([i for i, x in enumerate(_judge(b)) if not x], pa.int64())
             yield pa.record_batch([b.column(0).take(at), b.column(1).take(at)], names=["id", "line"])
 
-    tested = _tested(df, id_col, line)
-    good = tested.filter(_plain()).select("id", "line").unionByName(tested.filter(~_plain()).mapInArrow(run, f"id {kind}, line string"))
+    plain, rest = _split_lines(df, id_col, line)
+    good = plain.unionByName(rest.mapInArrow(run, f"id {kind}, line string"))
     f = F.split("line", "\t", -1)
     typed = [f[j].cast("bigint").alias(c) if c in ("start", "end") else f[j].alias(c) for j, c in enumerate(COLUMNS)]
     return good.select(F.col("id").alias(id_col), *typed)

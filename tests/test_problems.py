@@ -166,6 +166,7 @@ def test_lines_are_judged(spark):
         8: ("1\tens", "columns"), 9: (GOOD + "ID=a\tb", "columns"), 10: (GOOD + 'ID="a', "quoting"), 11: (GOOD + "ID='a'b", "quoting"), 12: (GOOD + "Note=3' end", None),
         13: ("?" + GOOD[1:] + "ID=a", "value"), 14: (GOOD.replace("5", "10") + "ID=a", "value"), 15: (GOOD.replace("5", "٥") + "ID=a", "value"),
         16: (GOOD + "word", "value"), 17: (GOOD + ".", None), 18: (GOOD + "", "value"), 19: ("\xa0" + GOOD + "ID=a", "value"), 20: (GOOD.replace("5", "9" * 30) + "ID=a", "value"),
+        21: ("a" * 300_000, "columns"), 22: (GOOD + "ID=" + "x" * 300_000, None), 23: (GOOD + "=", "value"), 24: (GOOD + "ID=a\r\r", None), 25: (GOOD + "ID= \r", "value"), 26: ("track" + GOOD + "ID=a", "skip"),
     }
     df = spark.createDataFrame([(i, c[0], "r") for i, c in cases.items()], "line_id bigint, line string, reason string")
     assert rows(rejected_lines(df).select("line_id", "reason")) == sorted(((i, c[1]) for i, c in cases.items() if c[1] not in (None, "skip")), key=repr)
