@@ -109,11 +109,11 @@ _KIND, _STEP, _READ = _steps()
 def _narrow(cost: np.ndarray) -> np.ndarray:
     """Costs in 32 bits, for texts of fewer than SHORT tabs and marks."""
     tabs, marks, ill = cost >> 40, (cost >> 20) & (_MARK - 1), cost & (_MARK - 1)
-    return np.where(cost >= _BIG, 1 << 30, (tabs << 20) | (marks << 10) | ill).astype(np.int32)
+    return np.where(cost >= _BIG, 1 << 29, (tabs << 20) | (marks << 10) | ill).astype(np.int32)
 
 
 SHORT = 500
-_SETS = {True: (_narrow(_STEP), _narrow(_INSERT), np.int32(1 << 30)), False: (_STEP, _INSERT, np.int64(_BIG))}
+_SETS = {True: (_narrow(_STEP), _narrow(_INSERT), np.int32(1 << 29)), False: (_STEP, _INSERT, np.int64(_BIG))}
 
 
 def cheapest_parses(texts: list[bytes], ninth: bool = False) -> list[tuple[int, list[str]]]:
