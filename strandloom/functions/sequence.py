@@ -96,3 +96,8 @@ def splice_pair(intron: Column, strand: Column) -> Column:
     """Donor and acceptor dinucleotides of an intron's forward bases, read on its strand."""
     on = F.when(strand == "-", reverse_complement(intron)).otherwise(intron)
     return F.upper(F.concat(F.substring(on, 1, 2), F.right(on, F.lit(2))))
+
+
+def without_type(ident: Column) -> Column:
+    """The id in type:id, up to a further colon; an id without colon as it is."""
+    return F.when(ident.contains(":"), F.split(ident, ":")[1]).otherwise(ident)

@@ -224,6 +224,33 @@ def covered_offsets(windows: DataFrame, cds: DataFrame, bin_bits: int = 13) -> D
     return windows.select("species", "chrom", "start", "end").join(n, ["species", "chrom", "start", "end"], "left").na.fill(0, ["n_covered", "n_runs"])
 
 
+def annotated_windows(windows: DataFrame, cds: DataFrame, classes: list[str], bin_bits: int = 13) -> DataFrame:
+    """(species, chrom, start, end, n_covered, n_<class>..., offsets): bases of 0-based windows that lie in (cds start,
+    cds end] of any row and of those of each label; offsets lists the covered runs in the window as first-last, ''
+    where there are none.
+
+    Coverage counts every base once per label and once over all; windows of no bases are not covered. cds: species,
+    chrom, start, end, label.
+    """
+    from strandloom.operators.sweep import coverage_segments
+
+    place = ["species", "chrom", "start", "end"]
+    closed = cds.select("species", "chrom", F.explode(F.array(F.col("label"), F.lit(""))).alias("label"), (F.col("start") + 1).alias("s"), F.col("end").alias("e"))
+    runs = coverage_segments(closed, ["species", "chrom", "label"], "s", "e", 0).filter("kind = 'period'")
+    spread = lambda df, s, e: df.withColumn("bin", F.explode(F.sequence(F.shiftright(s, bin_bits), F.shiftright(e, bin_bits))))
+    w = spread(windows.select(*place).filter("start < end").withColumn("last", F.col("end") - 1), "start", "last")
+    r = spread(runs.select("species", "chrom", "label", "seg_start", "seg_end"), "seg_start", "seg_end")
+    both = w.join(r, ["species", "chrom", "bin"]).filter("seg_start <= last and start <= seg_end").filter(F.shiftright(F.greatest("start", "seg_start"), bin_bits) == F.col("bin"))
+    a, b = F.greatest("start", "seg_start") - F.col("start"), F.least("last", "seg_end") - F.col("start")
+    both = both.select(*place, "label", a.alias("a"), b.alias("b"))
+    bases = lambda label: F.sum(F.when(F.col("label") == label, F.col("b") - F.col("a") + 1).otherwise(0))
+    parts = F.array_sort(F.collect_list(F.when(F.col("label") == "", F.struct("a", "b"))))
+    offsets = F.array_join(F.transform(parts, lambda x: F.concat_ws("-", x["a"].cast("string"), x["b"].cast("string"))), ",")
+    names = {"n_covered": "", **{f"n_{c}": c for c in classes}}
+    n = both.groupBy(*place).agg(*[bases(label).alias(c) for c, label in names.items()], offsets.alias("offsets"))
+    return windows.select(*place).join(n, place, "left").na.fill(0, list(names)).na.fill("", ["offsets"])
+
+
 def merged_strands(forward: DataFrame, backward: DataFrame, keys: list[str], indexes: str) -> DataFrame:
     """(keys, indexes): union of the index arrays of both strands, sorted; a missing side counts as empty."""
     b = backward.select(*keys, F.col(indexes).alias("__b"))
@@ -233,12 +260,14 @@ def merged_strands(forward: DataFrame, backward: DataFrame, keys: list[str], ind
 
 def sampled_windows(runs: DataFrame, size: int, per_group: int, group: list[str], seed: int = 42) -> DataFrame:
     """(group, start, end): up to per_group windows of size bases at the begin of the runs (s, e) that hold one, drawn by a
-    seeded hash, so equal inputs give equal windows."""
+    seeded hash, so equal inputs give equal windows. Each of many parts of a group is drawn from first."""
     from pyspark.sql import Window as W
 
-    ok = runs.filter(F.col("e") - F.col("s") + 1 >= size)
-    h = F.xxhash64(*group, "s", F.lit(seed))
-    return ok.withColumn("__r", F.row_number().over(W.partitionBy(*group).orderBy(h, "s"))).filter(f"__r <= {per_group}").select(*group, F.col("s").alias("start"), (F.col("s") + size - 1).alias("end"))
+    ok = runs.filter(F.col("e") - F.col("s") + 1 >= size).withColumn("__h", F.md5(F.concat_ws("|", *group, "s", F.lit(seed))))
+    ok = ok.withColumn("__part", F.substring("__h", 31, 2))
+    for keys in ([*group, "__part"], group):
+        ok = ok.withColumn("__r", F.row_number().over(W.partitionBy(*keys).orderBy("__h", "s"))).filter(f"__r <= {per_group}")
+    return ok.select(*group, F.col("s").alias("start"), (F.col("s") + size - 1).alias("end"))
 
 
 def composition(seq: Column, alphabet: str = "ACGTNacgt") -> list[Column]:

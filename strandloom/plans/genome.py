@@ -369,11 +369,14 @@ def evidence_features(spark, d):
     return _evidence(features(spark, d)).withColumns({c: F.round(c, 9) for c in ("absolute", "mean")})
 
 
-@query(f"""WITH {_EDGES}, {_HINTS}, ev AS (SELECT species, tx, count(w)::DOUBLE / count(*) AS rel FROM pt LEFT JOIN h USING (species, chrom, strand, s, e) GROUP BY ALL),
+_DECIDED = f"""{_EDGES}, {_HINTS}, ev AS (SELECT species, tx, count(w)::DOUBLE / count(*) AS rel FROM pt LEFT JOIN h USING (species, chrom, strand, s, e) GROUP BY ALL),
        no AS (SELECT u.species, u.chrom, u.strand, u.tx, rel, cds_len::DOUBLE AS len FROM u LEFT JOIN ev USING (species, tx)),
        dd AS (SELECT ed.*, x.rel - y.rel AS d1, x.len - y.len AS d2 FROM ed JOIN no x ON (ed.species, ed.chrom, ed.strand, ed.a) = (x.species, x.chrom, x.strand, x.tx) JOIN no y ON (ed.species, ed.chrom, ed.strand, ed.b) = (y.species, y.chrom, y.strand, y.tx)),
-       lo AS (SELECT species, chrom, strand, CASE WHEN d1 > 0 THEN b WHEN -d1 > 0 THEN a WHEN d2 > 10 THEN b WHEN -d2 > 10 THEN a END AS tx FROM dd)
-       SELECT species, tx AS tx_id FROM no WHERE NOT EXISTS (SELECT 1 FROM lo WHERE (lo.species, lo.chrom, lo.strand, lo.tx) = (no.species, no.chrom, no.strand, no.tx))""")
+       lo AS (SELECT species, chrom, strand, CASE WHEN d1 > 0 THEN b WHEN -d1 > 0 THEN a WHEN d2 > 10 THEN b WHEN -d2 > 10 THEN a END AS tx FROM dd),
+       kp AS (SELECT * FROM no WHERE NOT EXISTS (SELECT 1 FROM lo WHERE (lo.species, lo.chrom, lo.strand, lo.tx) = (no.species, no.chrom, no.strand, no.tx)))"""
+
+
+@query(f"WITH {_DECIDED} SELECT species, tx AS tx_id FROM kp")
 def decided_graph(spark, d):
     f, n, e = _graph(spark, d)
     nodes = n.select("node", "species", "tx_id", F.col("cds_len").cast("double").alias("len")).join(_evidence(f).select("species", "tx_id", "relative"), ["species", "tx_id"], "left")
@@ -639,9 +642,11 @@ def label17(spark, d):
     return lb.cover_segments(both, lb.PLACE, _CLASS_BITS).groupBy(*lb.PLACE, "mask").agg(F.sum(F.col("e") - F.col("s") + 1).alias("n_bases"))
 
 
-@query()
+@query(f"""WITH {FEATURES_SQL}, g AS (SELECT * FROM f WHERE feature = 'gene'), {_ISLANDS.format(src="g")},
+       n AS (SELECT *, e + 1 AS b, lead(s) OVER (PARTITION BY species, chrom, strand ORDER BY s) AS ns FROM p)
+       SELECT species, b AS start, b + 1999 AS "end" FROM n WHERE ns - b >= 2000 QUALIFY row_number() OVER (PARTITION BY species ORDER BY md5(concat_ws('|', species, b, 42)), b) <= 50""")
 def intergenic_samples(spark, d):
-    """Up to 50 windows of 2000 bases a species from the gaps between genes, drawn by a seeded hash (no SQL: the hash)."""
+    """Up to 50 windows of 2000 bases a species from the gaps between genes, drawn by a seeded hash."""
     g = coverage_segments(features(spark, d).filter("feature = 'gene'"), lb.PLACE, "start", "end").filter("kind = 'gap'")
     return ch.sampled_windows(g.select(*lb.PLACE, F.col("seg_start").alias("s"), F.col("seg_end").alias("e")), 2000, 50, ["species"])
 
@@ -663,9 +668,12 @@ def duplicate_ids(spark, d):
     return n.withColumn("k", k).select("species", "source", "tx_id", F.when(F.col("k") == 1, F.col("tx_id")).otherwise(F.concat_ws(".", F.lit("duplicate"), "tx_id", (F.col("k") - 1).cast("string"))).alias("new_id"))
 
 
-@query()
+@query(f"""WITH RECURSIVE {_DECIDED}, kn AS (SELECT u.species, u.chrom, u.strand, u.tx, u.ord FROM u JOIN kp ON (u.species, u.chrom, u.strand, u.tx) = (kp.species, kp.chrom, kp.strand, kp.tx)),
+       kw AS (SELECT x.ord AS a, y.ord AS b FROM ed JOIN kn x ON (ed.species, ed.chrom, ed.strand, ed.a) = (x.species, x.chrom, x.strand, x.tx) JOIN kn y ON (ed.species, ed.chrom, ed.strand, ed.b) = (y.species, y.chrom, y.strand, y.tx)),
+       kz AS (SELECT a, b FROM kw UNION SELECT b, a FROM kw), kr(node, r) AS (SELECT ord, ord FROM kn UNION SELECT kz.b, kr.r FROM kr JOIN kz ON kz.a = kr.node)
+       SELECT node, min(r) AS component FROM kr GROUP BY node""")
 def decided_components(spark, d):
-    """Components of the overlap graph once the weaker ends of its edges are removed (no SQL: see decided_graph)."""
+    """Components of the overlap graph once the weaker ends of its edges are removed."""
     f, n, e = _graph(spark, d)
     nodes = n.select("node", "species", "tx_id", F.col("cds_len").cast("double").alias("len")).join(_evidence(f).select("species", "tx_id", "relative"), ["species", "tx_id"], "left")
     kept = materialize(iso.decided(nodes, e, ["relative", "len"], (0.0, 10.0)).select("node"), "kept")

@@ -73,6 +73,14 @@ def p3_paths(spark: SparkSession, d: str) -> DataFrame:
     return hierarchy(edges).select(F.col("node").alias("feat_id"), "path", "on_circle")
 
 
+def p3_descendants(spark: SparkSession, d: str) -> DataFrame:
+    """(feat_id, desc_feat_id, distance): all descendants of each feature below a root; features on or below circles have
+    no such pairs."""
+    _, edges = feature_links(table(spark, d, "gff_features"))
+    pairs = hierarchy(edges).filter("depth > 0").select(F.col("node").alias("desc_feat_id"), "depth", F.posexplode("path").alias("i", "feat_id"))
+    return pairs.filter("i < depth").select("feat_id", "desc_feat_id", (F.col("depth") - F.col("i")).alias("distance"))
+
+
 def p5_found(spark: SparkSession, d: str) -> DataFrame:
     return rejected_lines(table(spark, d, "gff_lines")).select("line_id", "reason")
 
@@ -90,4 +98,4 @@ def p6_found(spark: SparkSession, d: str) -> DataFrame:
     return coverage_segments(exons, ["species", "chr", "strand"], "start", "end", 10_000)
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_key_stats, p2_found, p3_found, p3_paths, p5_found, p5_edits, p5_valid, p6_found)}
+QUERIES = {f.__name__: f for f in (p1_found, p1_key_stats, p2_found, p3_found, p3_paths, p3_descendants, p5_found, p5_edits, p5_valid, p6_found)}

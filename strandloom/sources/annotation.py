@@ -46,6 +46,11 @@ def description_kind(description: Column) -> Column:
     return F.when(F.try_element_at(words, F.lit(-2)) == "chromosome", "chromosome").when(F.element_at(words, -1).contains("scaffold"), "scaffold")
 
 
+def is_numbered(description: Column) -> Column:
+    """Whether the last word before the first comma is all digits or all letters."""
+    return F.element_at(F.split(F.trim(F.split(description, ",")[0]), " +"), -1).rlike(r"^(\p{Nd}+|\p{L}+)\z")
+
+
 def assembled(sequences: DataFrame, group: str = "species") -> DataFrame:
     """Sequences that are whole chromosomes; of groups without any, their scaffolds."""
     kind = sequences.withColumn("__kind", description_kind(F.col("description")))
@@ -98,6 +103,23 @@ def gtf_lines(features: DataFrame) -> DataFrame:
     return features.select("chrom", "start", "end", F.concat_ws("\t", dot("chrom"), dot("source"), dot("feature"), dot("start"), dot("end"), dot("score"), dot("strand"), dot("phase"), F.coalesce(info, F.lit("."))).alias("line"))
 
 
+def gtf_records(cds: DataFrame) -> DataFrame:
+    """(species, chrom, start, end, line): GTF lines of coding rows (species, chrom, source, start, end, strand, phase,
+    tx_id, gene_id, cds_type, count), and of each transcript and gene at a place the span of its coding rows."""
+    dot = lambda c: F.coalesce(F.col(c).cast("string"), F.lit("."))
+    pair = lambda k, c: F.concat(F.lit(f'{k} "'), F.col(c).cast("string"), F.lit('";'))
+    gene, both = pair("gene_id", "gene_id"), F.concat_ws(" ", pair("transcript_id", "tx_id"), pair("gene_id", "gene_id"))
+    rows = None
+    for feature, keys, info in (("gene", ["gene_id"], gene), ("transcript", ["tx_id", "gene_id"], both)):
+        g = cds.groupBy("species", "chrom", "strand", *keys).agg(F.min("source").alias("source"), F.min("start").alias("start"), F.max("end").alias("end"))
+        g = g.select("species", "chrom", "source", F.lit(feature).alias("feature"), "start", "end", "strand", F.lit(None).cast("string").alias("phase"), info.alias("info"))
+        rows = g if rows is None else rows.unionByName(g)
+    info = F.concat_ws(" ", both, pair("cds_type", "cds_type"), pair("count", "count"))
+    rows = rows.unionByName(cds.select("species", "chrom", "source", F.lit("CDS").alias("feature"), "start", "end", "strand", "phase", info.alias("info")))
+    line = F.concat_ws("\t", "chrom", dot("source"), "feature", dot("start"), dot("end"), F.lit("."), "strand", dot("phase"), "info")
+    return rows.select("species", "chrom", "start", "end", line.alias("line"))
+
+
 def write_gtf(features: DataFrame, path: str) -> None:
     """GTF text files, ordered by (chrom, start, end) over all files."""
     gtf_lines(features).orderBy("chrom", "start", "end", "line").select("line").write.mode("overwrite").text(path)
@@ -115,6 +137,18 @@ def write_chromosomes(sequences: DataFrame, path: str, backward: str = "reverse_
     out.write.mode("overwrite").partitionBy("species", "chrom", "strand").text(path)
 
 
+def read_chromosomes(spark: SparkSession, path: str) -> DataFrame:
+    """(species, chrom, strand, seq): the text files that write_chromosomes writes, one row per sequence and strand."""
+    rows = spark.read.schema("value string, species string, chrom string, strand string").text(path)
+    return rows.select("species", "chrom", "strand", F.col("value").alias("seq"))
+
+
+def write_fasta_info(sequences: DataFrame, path: str) -> None:
+    """Lines 'chrom: description', one per sequence; nulls are empty."""
+    blank = lambda c: F.coalesce(F.col(c), F.lit(""))
+    sequences.select(F.concat(blank("chrom"), F.lit(": "), blank("description")).alias("value")).write.mode("overwrite").text(path)
+
+
 def write_table(df: DataFrame, path: str, partition_by: tuple[str, ...] = ()) -> None:
     """Labels and chunks as Parquet; partitions that are written again replace their old files only."""
     df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by).parquet(path)

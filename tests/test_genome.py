@@ -169,3 +169,26 @@ def test_canonical_features_of_dirty_rows(spark):
     )
     assert rows(tx.features_of(g).select("ord", "feature", "tx_id")) == [(3, "CDS", "t"), (9, "exon", None)]
     assert tx.features_of(g.limit(0)).collect() == []
+
+
+def test_annotated_windows(spark):
+    w = spark.createDataFrame([("s", "c", 0, 10), ("s", "c", 10, 20), ("s", "d", 0, 5)], "species string, chrom string, start bigint, end bigint")
+    c = spark.createDataFrame([("s", "c", 1, 4, "initial"), ("s", "c", 1, 4, "initial"), ("s", "c", 3, 12, "terminal"), (None, "c", 1, 9, "initial")], "species string, chrom string, start bigint, end bigint, label string")
+    got = rows(ch.annotated_windows(w, c, ["initial", "terminal"]))
+    assert got == [("s", "c", 0, 10, 8, 3, 6, "2-9"), ("s", "c", 10, 20, 3, 0, 3, "0-2"), ("s", "d", 0, 5, 0, 0, 0, "")]
+    assert rows(ch.annotated_windows(w.limit(0), c, ["initial"])) == []
+
+
+def test_names_and_records(spark, tmp_path):
+    got = one(spark, a="gene:g1:x", b="g2", c=None).select(fs.without_type(F.col("a")), fs.without_type(F.col("b")), fs.without_type(F.col("c").cast("string"))).first()
+    assert tuple(got) == ("g1", "g2", None)
+    got = one(spark, a="X chromosome 12, whole", b="X chromosome ZW", c="X chromosome 1A").select(*[an.is_numbered(F.col(x)) for x in "abc"]).first()
+    assert tuple(got) == (True, True, False)
+    c = feats(spark, (5, 9), (20, 30)).withColumns({"gene_id": F.lit("g"), "cds_type": F.lit("initial"), "count": F.col("ord") + 1})
+    lines = [r.line.split("\t") for r in an.gtf_records(c).orderBy("line").collect()]
+    assert [(x[2], x[3], x[4]) for x in lines] == [("CDS", "20", "30"), ("CDS", "5", "9"), ("gene", "5", "30"), ("transcript", "5", "30")]
+    assert lines[1][8] == 'transcript_id "t"; gene_id "g"; cds_type "initial"; count "1";'
+    an.write_chromosomes(seqs(spark, "ACGT"), str(tmp_path / "chr"))
+    assert rows(an.read_chromosomes(spark, str(tmp_path / "chr"))) == [("s", "c0", "backward", "ACGT"), ("s", "c0", "forward", "ACGT")]
+    an.write_fasta_info(seqs(spark, "A"), str(tmp_path / "info"))
+    assert rows(spark.read.text(str(tmp_path / "info"))) == [("c0: ",)]

@@ -266,3 +266,13 @@ def test_segments_agree_with_brute_force(spark):
     df = spark.createDataFrame([(*x, "t") for x in data], "k string, start bigint, end bigint, __p string")
     assert rows(coverage_segments(df, ["k"], "start", "end", 12, bin_bits=4)) == brute_segments(data, 12)
     assert coverage_segments(df.limit(0), ["k"], "start", "end").collect() == []
+
+
+def test_short_and_long_parses_cost_the_same(monkeypatch):
+    """The costs of short texts fit 32 bits: no unreachable cost may turn negative."""
+    from strandloom.operators import bad_rows as br
+
+    texts = [b"", b"\t", b"a\tb", b'c\ts\tt\t1\t2\t.\t+\t.\tID="x', b'c\ts\tt\t1\t2\t.\t+\t.\tID="x"y;k=\'', b"\t" * 30 + b"'", b"x" * 50, b'"' * 40]
+    short = br.cheapest_parses(texts)
+    monkeypatch.setattr(br, "SHORT", 0)
+    assert br.cheapest_parses(texts) == short
